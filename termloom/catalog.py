@@ -13,7 +13,7 @@ from termloom.functions.snippet import snippet
 from termloom.functions.text import TokenOptions, normalize_text, title_and_body
 from termloom.operators import batch, latency, lookup, quality, search, stats
 from termloom.operators.postings import build_postings, sanitize, to_blocks, token_table
-from termloom.plans.staging import new_path
+from termloom.plans.staging import new_path, stage
 from termloom.sources import documents as store
 from termloom.sources import generator, index_json, index_store
 from termloom.sources.corpus import corpus, read_corpus, spread
@@ -313,12 +313,14 @@ def benchmark_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def batch_search(spark, sf):
-    return batch.batch_hits(postings(spark, sf), batch.prepare(benchmark_queries(spark, sf)))
+    index = stage(postings(spark, sf), "postings")
+    return batch.batch_hits(index, batch.prepare(benchmark_queries(spark, sf)))
 
 
 @query
 def batch_responses(spark, sf):
-    pages = batch.batch_responses(postings(spark, sf), benchmark_queries(spark, sf), page_docs=100)
+    index = stage(postings(spark, sf), "postings")
+    pages = batch.batch_responses(index, benchmark_queries(spark, sf), page_docs=100)
     return pages.select(
         "query_id",
         "mode",

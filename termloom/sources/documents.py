@@ -16,7 +16,8 @@ BLANKS = r"\t\n\x{b}\f\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}
 
 def _field(item: Column, *names: str) -> Column:
     """The first of the named fields that is present and not null, as a variant."""
-    return F.coalesce(*[F.try_variant_get(item, f"$.{name}", "variant") for name in names])
+    found = [F.try_variant_get(item, f"$.{name}", "variant") for name in names]
+    return F.coalesce(*[F.when(~F.is_variant_null(value), value) for value in found])
 
 
 def _text(value: Column) -> Column:
