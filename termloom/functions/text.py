@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ WORD = rf"[{LETTER_OR_DIGIT}]+"
 # U+02BC is a letter by category but counts as an apostrophe, hence as a separator.
 WORD_WITHOUT_APOSTROPHE = rf"[{LETTER_OR_DIGIT}&&[^\x{{2bc}}]]+"
 EDGE_APOSTROPHES = rf"(^|[^{LETTER_OR_DIGIT}])'+|'+([^{LETTER_OR_DIGIT}]|$)"
-ASCII_SEPARATOR = "[^A-Za-z0-9]+"
+ASCII_WORD = "[a-z0-9]+"
 
 MODES = ("unicode", "simple", "ascii")
 
@@ -109,9 +110,13 @@ def tokenize(text: Column, options: TokenOptions = DEFAULT_OPTIONS) -> Column:
         lowered = F.lower(F.coalesce(text.cast("string"), F.lit("")))
         return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
     if options.mode == "ascii":
-        # Cut first, lowercase after: lowering can turn a non-ASCII letter into an ASCII one.
-        words = F.split(F.coalesce(text.cast("string"), F.lit("")), ASCII_SEPARATOR)
-        return F.transform(F.filter(words, lambda word: word != ""), F.lower)
+        # Only ASCII letters are lowered: others separate, whatever their lowercase is.
+        lowered = F.translate(
+            F.coalesce(text.cast("string"), F.lit("")),
+            string.ascii_uppercase,
+            string.ascii_lowercase,
+        )
+        return F.regexp_extract_all(lowered, F.lit(ASCII_WORD), F.lit(0))
     return _unicode_tokens(text, options)
 
 

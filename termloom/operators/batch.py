@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import QUERY_OPTIONS, TokenOptions, tokenize
 from termloom.operators.search import PAGE_DOCS
-from termloom.plans.joins import BROADCAST_BYTES, attach
+from termloom.plans.joins import BROADCAST_BYTES, attach, fits_broadcast
 from termloom.plans.numbering import GROUP_LIMIT, first_per_group
 from termloom.plans.staging import stage
 
@@ -60,30 +62,46 @@ def prepare(queries: DataFrame, options: TokenOptions = QUERY_OPTIONS) -> DataFr
     )
 
 
-def _or_hits(postings: DataFrame, queries: DataFrame, broadcast_bytes: int) -> DataFrame:
-    words = queries.select("query_id", F.explode(F.array_distinct("terms")).alias("term"))
+def _distinct_terms(queries: DataFrame) -> DataFrame:
+    terms = F.array_distinct("terms")
+    return queries.select(
+        "query_id", "limit", F.size(terms).alias("wanted"), F.explode(terms).alias("term")
+    )
+
+
+def _or_hits(
+    postings: DataFrame, queries: DataFrame, first: int | None, size: dict
+) -> DataFrame:
+    """``query_id, limit, doc_id``, distinct. With ``first``, at least the first so many hits.
+
+    The first k hits of a query are among the first k postings of its terms, so a frequent term
+    brings k rows to the join and not all its documents.
+    """
+    words = _distinct_terms(queries).select("query_id", "limit", "term")
+    if first is not None:
+        vocabulary = words.select("term")
+        postings = attach(postings, vocabulary, "term", "left_semi", **size)
+        rank = F.row_number().over(Window.partitionBy("term").orderBy("doc_id"))
+        postings = postings.withColumn("_rank", rank).filter(F.col("_rank") <= first)
     return (
-        attach(postings, words, "term", broadcast_bytes=broadcast_bytes)
-        .select("query_id", "doc_id")
+        attach(postings.drop("_rank"), words, "term", **size)
+        .select("query_id", "limit", "doc_id")
         .distinct()
     )
 
 
-def _and_hits(postings: DataFrame, queries: DataFrame, broadcast_bytes: int) -> DataFrame:
-    words = queries.select(
-        "query_id",
-        F.size(F.array_distinct("terms")).alias("wanted"),
-        F.explode(F.array_distinct("terms")).alias("term"),
-    )
-    relevant = attach(
-        postings, words.select("term"), "term", "left_semi", broadcast_bytes=broadcast_bytes
-    )
-    found_in = relevant.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    # Each query starts from its rarest term. A query with a term that no document has is
-    # dropped here: it has no hits.
+def _and_hits(postings: DataFrame, queries: DataFrame, size: dict) -> DataFrame:
+    """``query_id, limit, doc_id``, distinct.
+
+    Only a query's rarest term is joined to the postings; the other terms are checked on those
+    candidates. The work follows the rarest term, not the most frequent one.
+    """
+    words = _distinct_terms(queries)
+    found_in = postings.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    # A query with a term that no document has is dropped here: it has no hits.
     anchors = stage(
         words.join(found_in, "term")
-        .groupBy("query_id", "wanted")
+        .groupBy("query_id", "limit", "wanted")
         .agg(
             F.count(F.lit(1)).alias("known"),
             F.sort_array(F.collect_list(F.struct("docs", "term"))).alias("by_rarity"),
@@ -91,6 +109,7 @@ def _and_hits(postings: DataFrame, queries: DataFrame, broadcast_bytes: int) ->
         .filter(F.col("known") == F.col("wanted"))
         .select(
             "query_id",
+            "limit",
             F.get("by_rarity", F.lit(0))["term"].alias("term"),
             F.transform(F.slice("by_rarity", 2, F.size("by_rarity")), lambda e: e["term"]).alias(
                 "others"
@@ -98,25 +117,28 @@ def _and_hits(postings: DataFrame, queries: DataFrame, broadcast_bytes: int) ->
         ),
         "anchors",
     )
-    candidates = attach(postings, anchors, "term", broadcast_bytes=broadcast_bytes)
-    single = F.size("others") == 0
-    others = anchors.select(F.explode("others").alias("term"))
+    alone = F.size("others") == 0
+    single = attach(postings, anchors.filter(alone), "term", **size).select(
+        "query_id", "limit", "doc_id"
+    )
+    several = anchors.filter(~alone)
+    candidates = attach(postings, several, "term", **size)
     # The other query terms each document has: at most the distinct terms of one document.
     terms_of_doc = (
-        attach(postings, others, "term", "left_semi", broadcast_bytes=broadcast_bytes)
+        attach(
+            postings,
+            several.select(F.explode("others").alias("term")),
+            "term",
+            "left_semi",
+            **size,
+        )
         .groupBy("doc_id")
         .agg(F.collect_list("term").alias("present"))
     )
-    verified = (
-        candidates.filter(~single)
-        .join(terms_of_doc, "doc_id")
-        .filter(F.size(F.array_except("others", "present")) == 0)
-    )
-    return (
-        candidates.filter(single)
-        .select("query_id", "doc_id")
-        .unionByName(verified.select("query_id", "doc_id"))
+    verified = candidates.join(terms_of_doc, "doc_id").filter(
+        F.size(F.array_except("others", "present")) == 0
     )
+    return single.unionByName(verified.select("query_id", "limit", "doc_id"))
 
 
 def batch_hits(
@@ -124,24 +146,56 @@ def batch_hits(
 ) -> DataFrame:
     """``query_id, doc_id`` of every prepared query, after its limit.
 
-    OR joins the query terms to the postings and keeps distinct pairs. AND joins only each
-    query's rarest term, then checks the other terms per document; the work follows the rarest
-    term, not the most frequent one. Postings should be a stored index: it is read several times.
+    The index is read once, for the postings of the batch's vocabulary, and these are written.
+    Then queries go by mode and by size of limit (none, small, large), each kind through the
+    joins that suit it.
     """
+    words = _distinct_terms(prepared)
+    # The sides joined below are parts of this table, or its rows folded per query.
+    size = {
+        "broadcast_bytes": broadcast_bytes,
+        "fits": fits_broadcast(words, broadcast_bytes),
+    }
+    relevant = attach(postings, words.select("term"), "term", "left_semi", **size)
+    postings = stage(relevant.select("term", "doc_id"), "relevant")
+    limit = F.col("limit")
     is_or = F.col("mode") == "or"
-    hits = _or_hits(postings, prepared.filter(is_or), broadcast_bytes).unionByName(
-        _and_hits(postings, prepared.filter(~is_or), broadcast_bytes)
-    )
-    limits = prepared.filter(F.col("limit").isNotNull()).select("query_id", "limit")
-    largest = limits.agg(F.max("limit")).first()[0]
-    if largest is None:
-        return hits
-    hits = stage(hits, "hits")
-    limited = attach(hits, limits, "query_id", broadcast_bytes=broadcast_bytes)
-    free = prepared.filter(F.col("limit").isNull()).select("query_id")
-    unlimited = attach(hits, free, "query_id", "left_semi", broadcast_bytes=broadcast_bytes)
-    cut = first_per_group(limited, "query_id", "limit", largest)
-    return unlimited.select("query_id", "doc_id").unionByName(cut.select("query_id", "doc_id"))
+    kinds = {
+        "free": limit.isNull(),
+        "small": limit.isNotNull() & (limit <= GROUP_LIMIT),
+        "large": limit.isNotNull() & (limit > GROUP_LIMIT),
+    }
+    asked = F.size("terms") > 0
+    seen = prepared.agg(
+        *[F.max(F.when(kind & asked, limit)).alias(name) for name, kind in kinds.items()],
+        *[
+            F.coalesce(F.bool_or(kind & asked & (is_or if mode == "or" else ~is_or)), F.lit(False)).alias(
+                f"{mode}_{name}"
+            )
+            for name, kind in kinds.items()
+            for mode in ("and", "or")
+        ],
+    ).first()
+
+    def cut(hits: DataFrame, name: str) -> DataFrame:
+        if name == "free":
+            return hits
+        return first_per_group(hits, "query_id", "limit", seen[name])
+
+    parts = []
+    both = None
+    for name, kind in kinds.items():
+        if seen[f"or_{name}"]:
+            first = seen[name] if name == "small" else None
+            hits = _or_hits(postings, prepared.filter(is_or & kind), first, size)
+            parts.append(cut(hits, name))
+        if seen[f"and_{name}"]:
+            if both is None:
+                both = _and_hits(postings, prepared.filter(~is_or & asked), size)
+            parts.append(cut(both.filter(kind), name))
+    if not parts:
+        return prepared.sparkSession.createDataFrame([], "query_id long, doc_id long")
+    return reduce(DataFrame.unionByName, [part.select("query_id", "doc_id") for part in parts])
 
 
 def batch_responses(

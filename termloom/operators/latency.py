@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.plans.joins import BROADCAST_BYTES, attach
+from termloom.plans.staging import stage
 
 # The sketch is off by at most 1/ACCURACY of a group's rows; MARGIN leaves ten times that.
 ACCURACY = 20_000
@@ -31,11 +32,15 @@ def latency_summary(
     grid = F.percentile_approx(
         "dur_ms", [min(max(b, 0.0), 1.0) for b in bounds], ACCURACY
     )
-    groups = samples.groupBy("_key", "term").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("dur_ms").alias("min"),
-        F.max("dur_ms").alias("max"),
-        grid.alias("_grid"),
+    # One row per term, written so that the sketch is built by one pass and not by each use.
+    groups = stage(
+        samples.groupBy("_key", "term").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("dur_ms").alias("min"),
+            F.max("dur_ms").alias("max"),
+            grid.alias("_grid"),
+        ),
+        "latency-groups",
     )
 
     def bracket(i: int, p: int):

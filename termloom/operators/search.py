@@ -97,11 +97,20 @@ def union(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def hits_with_snippets(hits: DataFrame, docs: DataFrame, terms: list[str]) -> DataFrame:
-    """``doc_id, snippet``; the snippet is null for a missing document or without a hit."""
+    """``doc_id, snippet``; the snippet is null for a missing document or without a hit.
+
+    Snippets are cut before the join, so that a few dozen characters of a text are shuffled and
+    not the text.
+    """
     words = F.array(*[F.lit(term) for term in terms]).cast("array<string>")
-    return hits.join(docs.select("doc_id", "text"), "doc_id", "left").select(
-        "doc_id", snippet(F.col("text"), words).alias("snippet")
-    )
+    cut = docs.select("doc_id", snippet(F.col("text"), words).alias("snippet"))
+    return hits.join(cut, "doc_id", "left").select("doc_id", "snippet")
+
+
+def _local(rows: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Rows known to be few, held by the driver, with their document ids as literals."""
+    table = rows.toArrow()
+    return rows.sparkSession.createDataFrame(table), table["doc_id"].to_pylist()
 
 
 def search_response(
@@ -121,12 +130,15 @@ def search_response(
     mode, limit = check_mode(mode), check_limit(limit)
     terms = query_terms(postings.sparkSession, q)
     hits = matching_docs(postings, terms, mode)
+    page = F.floor(F.col("doc_id") / page_docs).cast("long")
     if limit is not None:
         hits = first_by_id(hits, limit)
-    total = hits.agg(F.count(F.lit(1)))
-    page = F.floor(F.col("doc_id") / page_docs).cast("long")
     if limit is not None and limit <= GROUP_LIMIT:
         page = F.lit(0).cast("long")
+        # At most GROUP_LIMIT rows; as literals they let the document scan skip row groups.
+        hits, ids = _local(hits)
+        docs = docs.filter(F.col("doc_id").isin(ids)) if docs is not None else None
+    total = hits.agg(F.count(F.lit(1)))
     if docs is not None:
         hits = hits_with_snippets(hits, docs, terms)
     entry = F.struct("doc_id", *(["snippet"] if docs is not None else []))
@@ -165,8 +177,7 @@ def term_topk(
     best = [F.desc("tf"), F.asc("doc_id")]
     if verified and k <= GROUP_LIMIT:
         # At most GROUP_LIMIT rows; their ids as literals let the document scan skip row groups.
-        top = matches.orderBy(*best).limit(k).collect()
-        ranked = postings.sparkSession.createDataFrame(top, "doc_id long, tf int")
-        found = documents.filter(F.col("doc_id").isin([row["doc_id"] for row in top]))
-        return found.join(F.broadcast(ranked), "doc_id").orderBy(*best)
+        top, ids = _local(matches.orderBy(*best).limit(k))
+        found = documents.filter(F.col("doc_id").isin(ids))
+        return found.join(F.broadcast(top), "doc_id").orderBy(*best)
     return documents.join(matches, "doc_id").orderBy(*best).limit(k)

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only when its measured content is below this.
 BROADCAST_BYTES = 64 << 20
@@ -16,9 +17,18 @@ ROW_OVERHEAD = 64
 HOT_FRACTION = 1000
 
 
+def _column_bytes(field: T.StructField):
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return F.lit(16)
+
+
 def content_bytes(df: DataFrame) -> int:
     """Size of ``df`` measured on its rows, by one aggregation."""
-    row = F.coalesce(F.octet_length(F.to_json(F.struct(*df.columns))), F.lit(0)) + ROW_OVERHEAD
+    row = sum((_column_bytes(field) for field in df.schema), F.lit(ROW_OVERHEAD))
     return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
@@ -32,10 +42,12 @@ def attach(
     key: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    fits: bool = False,
 ) -> DataFrame:
     """Join ``big`` to ``small`` on one column, ``inner`` or ``left_semi``.
 
-    ``small`` is measured first and broadcast if it fits, so ``big`` does not move. Otherwise
+    ``small`` is measured first and broadcast if it fits, so ``big`` does not move; ``fits``
+    says that something at least as large was measured and fits already. Otherwise
     ``big`` is split by key: the many ordinary keys go through a plain shuffle join, and the
     hot ones are salted over as many slots as bring a slot back to an ordinary key's size.
     """
@@ -44,7 +56,7 @@ def attach(
     if how == "left_semi":
         small = small.select(key).distinct()
     big = big.filter(F.col(key).isNotNull())
-    if fits_broadcast(small, broadcast_bytes):
+    if fits or fits_broadcast(small, broadcast_bytes):
         return big.join(F.broadcast(small), key, how)
 
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

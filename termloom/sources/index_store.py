@@ -13,8 +13,10 @@ from termloom.functions.text import DEFAULT_OPTIONS, TokenOptions
 from termloom.operators.postings import build_postings
 from termloom.plans.staging import staged
 
-# Postings per file. Also the size of a range partition when an index is written.
+# Postings per file, which is also a range partition when an index is written: at most the
+# first number, and no fewer than the second just to keep every core busy.
 ROWS_PER_FILE = 20_000_000
+LEAST_ROWS_PER_FILE = 250_000
 
 
 def write_build(
@@ -44,7 +46,12 @@ def write_build(
         F.count(F.lit(1)).alias("posting_count"),
     ) as postings:
         posting_count = metrics.get["posting_count"]
-        files = max(1, math.ceil(posting_count / rows_per_file))
+        cores = docs.sparkSession.sparkContext.defaultParallelism
+        files = max(
+            math.ceil(posting_count / rows_per_file),
+            min(cores, math.ceil(posting_count / LEAST_ROWS_PER_FILE)),
+            1,
+        )
         clustered = postings.repartitionByRange(files, "term", "doc_id").sortWithinPartitions(
             "term", "doc_id"
         )

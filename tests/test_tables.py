@@ -2,6 +2,7 @@ import json
 import math
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,6 +166,10 @@ def test_a_frequent_term_is_split_over_files(spark, tmp_path):
     index_store.rebuild_index(docs, path, rows_per_file=500)
     hot = index_store.read_postings(spark, path).filter("term = 'hot'")
     assert hot.count() == 4000
+    for file in (tmp_path / "index" / "postings").rglob("*.parquet"):
+        rows = pq.read_table(file, columns=["term", "doc_id"]).to_pylist()
+        keys = [(row["term"], row["doc_id"]) for row in rows]
+        assert keys == sorted(keys)
     assert hot.select(F.input_file_name()).distinct().count() > 3
 
 
