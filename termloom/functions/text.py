@@ -65,10 +65,10 @@ QUERY_OPTIONS = TokenOptions()
 
 def _prepared(text: Column, options: TokenOptions) -> Column:
     text = F.coalesce(text.cast("string"), F.lit(""))
-    if not options.assume_nfc:
-        text = nfc(text)
     if options.ascii_fold:
         text = ascii_fold(text)
+    elif not options.assume_nfc:
+        text = nfc(text)
     return F.lower(text) if options.lowercase else text
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.plans.joins import attach
+from termloom.plans.joins import attach, fits_broadcast
 
 
 def document_by_id(documents: DataFrame, doc_id, id_column: str = "id") -> DataFrame:
@@ -20,9 +20,20 @@ def document_by_id(documents: DataFrame, doc_id, id_column: str = "id") -> DataF
     return documents.filter(F.col(id_column) == wanted)
 
 
+def narrowed(documents: DataFrame, hits: DataFrame) -> DataFrame:
+    """The documents of the hits, if the hits are few enough to broadcast; else all of them.
+
+    For use before a join on ``doc_id``: for few hits the texts of other documents stay put.
+    """
+    wanted = hits.select("doc_id").distinct()
+    if fits_broadcast(wanted):
+        return documents.join(F.broadcast(wanted), "doc_id", "left_semi")
+    return documents
+
+
 def with_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """Each hit with its document; a hit whose document is missing keeps nulls."""
-    return hits.join(documents, "doc_id", "left")
+    return hits.join(narrowed(documents, hits), "doc_id", "left")
 
 
 def existing(hits: DataFrame, documents: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.snippet import snippet
 from termloom.functions.text import QUERY_OPTIONS, TokenOptions, tokenize
+from termloom.operators.lookup import narrowed
 from termloom.plans.numbering import GROUP_LIMIT, first_by_id
 
 # Documents per page of a response without a small limit. Pages are ranges of doc_id, so a
@@ -103,7 +104,7 @@ def hits_with_snippets(hits: DataFrame, docs: DataFrame, terms: list[str]) -> Da
     not the text.
     """
     words = F.array(*[F.lit(term) for term in terms]).cast("array<string>")
-    cut = docs.select("doc_id", snippet(F.col("text"), words).alias("snippet"))
+    cut = narrowed(docs, hits).select("doc_id", snippet(F.col("text"), words).alias("snippet"))
     return hits.join(cut, "doc_id", "left").select("doc_id", "snippet")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.plans.joins import attach
+from termloom.plans.numbering import GROUP_LIMIT, first_per_group
+
 
 def row_count(documents: DataFrame) -> DataFrame:
     return documents.agg(F.count(F.lit(1)).cast("int").alias("n"))
@@ -18,15 +21,8 @@ def corpus_stats(docs: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 def term_sample(postings: DataFrame, terms: int = 10, per_term: int = 5) -> DataFrame:
-    """The first ``per_term`` postings of each of the first ``terms`` terms.
-
-    Terms sort by UTF-8 bytes. The sampled terms are ``terms`` rows, so they are broadcast, and
-    the per-term cut runs inside each task before the shuffle.
-    """
+    """The first ``per_term`` postings of each of the first ``terms`` terms (by UTF-8 bytes)."""
     first = postings.select("term").distinct().orderBy("term").limit(terms)
-    order = Window.partitionBy("term").orderBy("doc_id")
-    return (
-        postings.join(F.broadcast(first), "term", "left_semi")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= per_term)
-    )
+    sampled = attach(postings, first, "term", "left_semi", fits=terms <= GROUP_LIMIT)
+    limited = sampled.withColumn("_per_term", F.lit(per_term))
+    return first_per_group(limited, "term", "_per_term", per_term).drop("_per_term")

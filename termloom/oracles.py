@@ -169,8 +169,8 @@ SELECT (SELECT count(*) FROM documents) AS doc_count,
   (SELECT count(DISTINCT term) FROM postings) AS term_count""",
     "row_count": "SELECT CAST(count(*) AS INTEGER) AS n FROM documents",
     "term_sample": f"""{WITH}
-SELECT * FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY term ORDER BY doc_id) AS INTEGER) AS rank
+SELECT term, doc_id, tf FROM (
+  SELECT *, row_number() OVER (PARTITION BY term ORDER BY doc_id) AS rank
   FROM postings WHERE term IN (SELECT DISTINCT term FROM postings ORDER BY term LIMIT 10))
 WHERE rank <= 5""",
     "term_lookup": f"{WITH} SELECT * FROM postings WHERE term IN ('the', 'der', 'nosuchterm')",

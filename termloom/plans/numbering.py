@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termloom.plans.joins import attach
 from termloom.plans.staging import stage
 
 # Up to this limit Spark keeps the first rows per group before the shuffle
@@ -39,8 +40,7 @@ def with_dense_ids(
     starts = sizes.select(
         "_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
-    # One row of two longs per write task: a few megabytes at a hundred thousand tasks.
-    numbered = rows.join(F.broadcast(starts), "_task")
+    numbered = attach(rows, starts, "_task")
     return numbered.select(
         (F.lit(after) + F.col("_start") + F.col("_position") + 1).cast("long").alias(id_column),
         *df.columns,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from termloom import schemas
 from termloom.plans.joins import BROADCAST_BYTES, fits_broadcast
 from termloom.plans.numbering import with_dense_ids
-from termloom.plans.staging import stage, staged
+from termloom.plans.staging import staged
 
 # The characters that trimming removes.
 BLANKS = r"\t\n\x{b}\f\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
@@ -100,10 +100,11 @@ def new_documents(
     given; ``created_at`` is kept where the batch has one.
     """
     columns = set(batch.columns)
-    bad = rejected_rows(batch).limit(1).collect()
+    place = [c for c in ("file", "index") if c in columns]
+    bad = rejected_rows(batch).select(*place, "reason").orderBy(*place or ["reason"]).first()
     if bad:
-        place = bad[0]["index"] if "index" in columns else "?"
-        raise ValueError(f"docs[{place}]: {bad[0]['reason']}")
+        where = f"docs[{bad['index']}]: " if "index" in columns else ""
+        raise ValueError(where + bad["reason"])
     external = F.col("external_id") if "external_id" in columns else F.lit(None)
     created = F.col("created_at") if "created_at" in columns else F.lit(None)
     rows = batch.select(
@@ -111,7 +112,7 @@ def new_documents(
         "title",
         "body",
         F.coalesce(created.cast("timestamp"), F.current_timestamp()).alias("created_at"),
-        *[c for c in ("file", "index") if c in columns],
+        *place,
     )
     if order_by is None and {"file", "index"} <= columns:
         order_by = [F.col("file"), F.col("index")]
@@ -131,9 +132,8 @@ def insert_documents(
     for the order of insertion.
     """
     rows = new_documents(batch, _last_id(_existing(spark, path)), order_by)
-    written = stage(rows, "inserted")
-    written.write.mode("append").parquet(path)
-    return written
+    rows.write.mode("append").parquet(path)
+    return rows
 
 
 def insert_document(spark: SparkSession, path: str, title, body, created_at=None) -> DataFrame:
