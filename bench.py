@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from termloom import catalog
 from termloom.functions.snippet import snippet
-from termloom.functions.text import TokenOptions
+from termloom.functions.text import TokenOptions, title_and_body
 from termloom.operators import batch, latency, quality, search, stats
 from termloom.operators.postings import build_postings, to_blocks
 from termloom.session import build_session
@@ -56,6 +56,23 @@ def main() -> None:
         return path
 
     index = index_store.read_postings(spark, rebuild())
+    # The synthetic corpus with its title-and-body index, as in the term-query baseline.
+    generated = generator.generate_range(spark, 10_000, "seed").withColumnRenamed(
+        "number", "doc_id"
+    )
+    generated.write.parquet(f"{scratch}/generated")
+    generated = spark.read.parquet(f"{scratch}/generated")
+
+    def rebuild_generated() -> str:
+        path = f"{scratch}/generated-index-{next(builds)}"
+        text = title_and_body(F.col("title"), F.col("body")).alias("text")
+        index_store.rebuild_index(
+            generated.select("doc_id", text), path, options=TokenOptions(mode="ascii")
+        )
+        return path
+
+    generated_index = index_store.read_postings(spark, rebuild_generated())
+    external = generated.select("doc_id", "external_id")
     queries = catalog.benchmark_queries(spark, SF_DIR)
     events = spark.read.parquet(f"{SF_DIR}/events.parquet").select(
         F.col("event_type").alias("term"), F.col("value").alias("dur_ms")
@@ -63,6 +80,13 @@ def main() -> None:
     words = F.array(F.lit("the"), F.lit("und"))
     work = {
         "index_rebuild": rebuild,
+        "generated_index_rebuild": rebuild_generated,
+        **{
+            f"term_query_{term}": lambda term=term: search.term_topk(
+                generated_index, external, term, 10
+            ).collect()
+            for term in ("alpha", "beta", "gamma", "w10", "w999", "w1500")
+        },
         "postings_unicode": lambda: consume(build_postings(docs)),
         "postings_simple": lambda: consume(build_postings(docs, TokenOptions(mode="simple"))),
         "postings_ascii": lambda: consume(catalog.postings_ascii(spark, SF_DIR)),

@@ -69,7 +69,8 @@ def attach(
     plain = big.filter(~is_hot).join(small.filter(~is_hot), key, how)
 
     slots = math.ceil(max(row["n"] for row in hot) * HOT_FRACTION / total)
-    rest = [c for c in big.columns if c != key]
+    # Rows made of the key alone are equal and stay together.
+    rest = [c for c in big.columns if c != key] or [key]
     salted_big = big.filter(is_hot).withColumn(
         "_slot", F.pmod(F.xxhash64(*rest), F.lit(slots)).cast("int")
     )
