@@ -30,8 +30,9 @@ def write_build(
 ) -> None:
     """Index ``docs`` into ``<path>/postings/build=<n>`` and add its row of statistics.
 
-    Tokenising is a map over the corpus, written out once and counted on the way. Clustering
-    then samples and shuffles that file, not the texts. Ranges are cut on ``(term, doc_id)``, so
+    Tokenising is a map over the corpus, written out once and counted on the way. It is written
+    sorted by task: half the size on disk and in the shuffle, and the final sort merges runs.
+    Clustering then samples and shuffles that table, not the texts. Ranges are cut on ``(term, doc_id)``, so
     a frequent term gets as many files as it needs and every file still covers a narrow range
     of terms, which the scan's min/max and bloom filters use.
     """
@@ -40,7 +41,7 @@ def write_build(
         F.count(F.lit(1)).alias("doc_count"), F.max("doc_id").alias("max_doc_id")
     )
     with staged(
-        build_postings(docs, options, one_row_per_doc),
+        build_postings(docs, options, one_row_per_doc).sortWithinPartitions("term", "doc_id"),
         "postings",
         metrics,
         F.count(F.lit(1)).alias("posting_count"),
