@@ -69,9 +69,7 @@ def _distinct_terms(queries: DataFrame) -> DataFrame:
     )
 
 
-def _or_hits(
-    postings: DataFrame, queries: DataFrame, first: int | None, size: dict
-) -> DataFrame:
+def _or_hits(postings: DataFrame, queries: DataFrame, first: int | None, size: dict) -> DataFrame:
     """``query_id, limit, doc_id``, distinct. With ``first``, at least the first so many hits.
 
     The first k hits of a query are among the first k postings of its terms, so a frequent term
@@ -100,7 +98,7 @@ def _and_hits(postings: DataFrame, queries: DataFrame, size: dict) -> DataFrame:
     found_in = postings.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
     # A query with a term that no document has is dropped here: it has no hits.
     anchors = stage(
-        words.join(found_in, "term")
+        attach(words, found_in, "term", **size)
         .groupBy("query_id", "limit", "wanted")
         .agg(
             F.count(F.lit(1)).alias("known"),
@@ -166,14 +164,13 @@ def batch_hits(
         "large": limit.isNotNull() & (limit > GROUP_LIMIT),
     }
     asked = F.size("terms") > 0
+    modes = {"or": is_or, "and": ~is_or}
     seen = prepared.agg(
         *[F.max(F.when(kind & asked, limit)).alias(name) for name, kind in kinds.items()],
         *[
-            F.coalesce(F.bool_or(kind & asked & (is_or if mode == "or" else ~is_or)), F.lit(False)).alias(
-                f"{mode}_{name}"
-            )
+            F.coalesce(F.bool_or(kind & asked & chosen), F.lit(False)).alias(f"{mode}_{name}")
             for name, kind in kinds.items()
-            for mode in ("and", "or")
+            for mode, chosen in modes.items()
         ],
     ).first()
 
@@ -183,16 +180,16 @@ def batch_hits(
         return first_per_group(hits, "query_id", "limit", seen[name])
 
     parts = []
-    both = None
+    and_hits = None
     for name, kind in kinds.items():
         if seen[f"or_{name}"]:
             first = seen[name] if name == "small" else None
             hits = _or_hits(postings, prepared.filter(is_or & kind), first, size)
             parts.append(cut(hits, name))
         if seen[f"and_{name}"]:
-            if both is None:
-                both = _and_hits(postings, prepared.filter(~is_or & asked), size)
-            parts.append(cut(both.filter(kind), name))
+            if and_hits is None:
+                and_hits = _and_hits(postings, prepared.filter(~is_or & asked), size)
+            parts.append(cut(and_hits.filter(kind), name))
     if not parts:
         return prepared.sparkSession.createDataFrame([], "query_id long, doc_id long")
     return reduce(DataFrame.unionByName, [part.select("query_id", "doc_id") for part in parts])

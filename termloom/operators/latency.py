@@ -81,8 +81,6 @@ def latency_summary(
         )
     )
     # The sketch's bound makes a miss impossible; should it ever happen, fail, don't guess.
-    exact = [
-        F.coalesce(F.col(f"_p{p}"), F.raise_error(F.lit("percentile bracket missed"))).alias(f"p{p}")
-        for p in percentiles
-    ]
+    missed = F.raise_error(F.lit("percentile bracket missed"))
+    exact = [F.coalesce(F.col(f"_p{p}"), missed).alias(f"p{p}") for p in percentiles]
     return groups.join(reached, "_key", "left").select("term", "n", *exact, "min", "max")

@@ -51,7 +51,9 @@ def terms_postings(postings: DataFrame, terms: DataFrame) -> DataFrame:
     return attach(postings, terms, "term", "left_semi")
 
 
-def by_recency(documents: DataFrame, limit: int, created: str = "created_at", id_column: str = "id") -> DataFrame:
+def by_recency(
+    documents: DataFrame, limit: int, created: str = "created_at", id_column: str = "id"
+) -> DataFrame:
     """The newest documents first, ties by the higher id."""
     return documents.orderBy(F.desc(created), F.desc(id_column)).limit(limit)
 

@@ -42,7 +42,9 @@ def check_limit(limit) -> int | None:
     return int(number)
 
 
-def query_terms(spark: SparkSession, q: str | None, options: TokenOptions = QUERY_OPTIONS) -> list[str]:
+def query_terms(
+    spark: SparkSession, q: str | None, options: TokenOptions = QUERY_OPTIONS
+) -> list[str]:
     """The tokens of one query text, in order and with duplicates.
 
     The text is a literal, normalised here, and cut by the same expression that cuts documents.

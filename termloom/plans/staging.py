@@ -28,7 +28,9 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, label: str, observation: Observation | None = None, *metrics) -> Iterator[DataFrame]:
+def staged(
+    df: DataFrame, label: str, observation: Observation | None = None, *metrics
+) -> Iterator[DataFrame]:
     """``stage`` for the length of a block; the files are removed at its end."""
     spark = df.sparkSession
     path = new_path(spark, label)

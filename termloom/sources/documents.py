@@ -11,7 +11,10 @@ from termloom.plans.numbering import with_dense_ids
 from termloom.plans.staging import staged
 
 # The characters that trimming removes.
-BLANKS = r"\t\n\x{b}\f\r \x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+BLANKS = (
+    r"\t\n\x{b}\f\r \x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+)
 
 
 def _field(item: Column, *names: str) -> Column:
@@ -153,7 +156,9 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     return read_documents(spark, path) if fs.exists(hadoop_path) else None
 
 
-def upsert(existing: DataFrame, batch: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def upsert(
+    existing: DataFrame, batch: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """The documents table after upserting ``batch(external_id, title, body)``.
 
     A known ``external_id`` gets the new title and body and keeps its id and creation time; the

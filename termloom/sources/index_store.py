@@ -56,8 +56,9 @@ def write_build(
         clustered = postings.repartitionByRange(files, "term", "doc_id").sortWithinPartitions(
             "term", "doc_id"
         )
-        writer = clustered.write if not replace else clustered.withColumn("build", F.lit(build)).write
-        writer = writer.option("parquet.bloom.filter.enabled#term", "true").mode("overwrite")
+        if replace:
+            clustered = clustered.withColumn("build", F.lit(build))
+        writer = clustered.write.option("parquet.bloom.filter.enabled#term", "true").mode("overwrite")
         if replace:
             writer.partitionBy("build").parquet(f"{path}/postings")
         else:
