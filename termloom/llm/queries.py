@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import toxicity
+from termloom.llm import decontamination, exact_dedup, near_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    return Path(public_tokenizers.path(name)).read_text()
+
+
 def _fold():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
 
@@ -39,4 +45,40 @@ def op9_toxicity(spark, sf_dir):
     return scored.select("doc_id", held_out, "score", "predicted", "evidence")
 
 
-ORACLES: dict[str, str] = {}
+@query
+def op5_exact_dedup(spark, sf_dir):
+    decided = exact_dedup.decide(table(spark, sf_dir, "documents"))
+    return decided.select(
+        "doc_id",
+        F.col("keep.doc_id").alias("keep_id"),
+        "group_size",
+        exact_dedup.is_kept().alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+@query
+def op1_decontamination(spark, sf_dir):
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.overlaps(docs, benchmark)
+    return found.select("doc_id", "item_id", "start", "agreeing", "covered")
+
+
+@query
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op10_near_dedup(spark, sf_dir):
+    classes = near_dedup.classify(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size", "keep")
+
+
+ORACLES: dict[str, str] = {
+    "op5_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
+}
