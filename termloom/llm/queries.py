@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontamination, exact_dedup, near_dedup, packing, toxicity
+from termloom.llm.common import ROW
+from termloom.llm import (
+    decontamination,
+    exact_dedup,
+    licences,
+    near_dedup,
+    packing,
+    pii,
+    secrets,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,6 +57,29 @@ def op9_toxicity(spark, sf_dir):
     return scored.select("doc_id", held_out, "score", "predicted", "evidence")
 
 
+@query
+def op4_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents")).drop(*ROW)
+
+
+@query
+def op6_warc(spark, sf_dir):
+    folder, manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    records = warc.read_archives(spark, folder, manifest, with_html=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents")).drop(*ROW)
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json"))
+
+
 @query
 def op5_exact_dedup(spark, sf_dir):
     decided = exact_dedup.decide(table(spark, sf_dir, "documents"))
@@ -64,6 +99,12 @@ def op1_decontamination(spark, sf_dir):
     return found.select("doc_id", "item_id", "start", "agreeing", "covered")
 
 
+@query
+def op2_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.train(docs))
+
+
 @query
 def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -75,10 +116,66 @@ def op10_near_dedup(spark, sf_dir):
     return classes.select("doc_id", "class_id", "class_size", "keep")
 
 
+def licence_sql() -> str:
+    """The same canonical form in DuckDB's functions."""
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    copyright_line = licences.COPYRIGHT_LINE.replace("(?md)", "(?m)")
+    lines = (
+        f"' ' || replace(regexp_replace(regexp_replace(lower(text), {quoted(copyright_line)}, '', 'g'), "
+        f"{quoted(licences.OTHER)}, '  ', 'g'), chr(10), ' ' || chr(10) || ' ') || ' '"
+    )
+    for pair in licences.SPELLINGS:
+        spelling, other = (f" {words} ".replace(" ", "  ")[1:-1] for words in pair)
+        lines = f"replace({lines}, {quoted(spelling)}, {quoted(other)})"
+    known = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in licences.KNOWN)
+
+    def digest(value: str) -> str:
+        flat = f"trim(regexp_replace({value}, '[ \\n]+', ' ', 'g'))"
+        return f"CASE WHEN {flat} <> '' THEN sha256({flat}) END"
+
+    return f"""
+        WITH known AS (
+            SELECT {digest('lines')} AS digest, min(id) AS licence_id
+            FROM (SELECT id, {lines} AS lines FROM (VALUES {known}) k(id, text)) GROUP BY 1
+        ), d AS (
+            SELECT doc_id, {lines} AS lines FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+        ), l AS (
+            SELECT doc_id, k.licence_id
+            FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM d) x
+            JOIN known k ON k.digest = {digest('line')}
+        ), g AS (
+            SELECT doc_id, string_agg(DISTINCT licence_id, ',' ORDER BY licence_id) AS ids, count(*) AS n
+            FROM l GROUP BY doc_id
+        )
+        SELECT d.doc_id, {digest('d.lines')} AS canonical_sha256, k.licence_id,
+               coalesce(g.ids, '') AS line_licences, coalesce(g.n, 0) AS n_lines
+        FROM d LEFT JOIN known k ON k.digest = {digest('d.lines')} LEFT JOIN g USING (doc_id)
+    """
+
+
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+                   octet_length(encode(coalesce(html, ''))) AS size
+            FROM pages
+        ), f AS (
+            SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY digest)
+                      ELSE page_id END AS first_id
+            FROM p
+        )
+        SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM f
+    """,
+    "op4_licences": licence_sql(),
 }
