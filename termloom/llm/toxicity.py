@@ -97,18 +97,21 @@ class BlockMaxIndex:
         scores = self._score(terms, weights, first)
         if skip >= 0:
             scores[skip] = 0
-        kth = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        found = np.flatnonzero(scores > 0)
+        kth = np.partition(scores[found], -k)[-k] if len(found) >= k else 0.0
         rest = order[FIRST_BLOCKS:]
         rest = rest[(bound[rest] >= kth - 1e-6) & (bound[rest] > 0)]
         if len(rest):
             scores = scores + self._score(terms, weights, rest)
             if skip >= 0:
                 scores[skip] = 0
-        found = np.flatnonzero(scores > 0)
-        if len(found) > 4 * k:
-            found = found[scores[found] >= np.partition(scores[found], -k)[-k]]
-        found = found[np.lexsort((found, -scores[found].round(6)))][:k]
-        return found, np.minimum(scores[found], 1.0)
+            found = np.flatnonzero(scores > 0)
+        near = scores[found].round(6)
+        if len(found) > k:
+            kept = near >= np.partition(near, -k)[-k]
+            found, near = found[kept], near[kept]
+        order = np.argsort(-near, kind="stable")[:k]
+        return found[order], np.minimum(near[order], 1.0)
 
 
 @dataclass
@@ -149,15 +152,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(line, -30, 30)))
 
     def score(self, text: str | None):
+        """The probability, and the examples with their cosines."""
         voted = self.vote(*self.vector(words(text)))
         if voted is None:
-            return self.empty, []
-        raw, near, cosines = voted
-        evidence = [
-            {"doc_id": int(self.ids[e]), "toxic": int(self.toxic[e]), "cosine": float(c)}
-            for e, c in zip(near, cosines)
-        ]
-        return float(self.probability(raw)), evidence
+            return self.empty, _NONE, _NONE
+        return float(self.probability(voted[0])), voted[1], voted[2]
+
+
+_NONE = np.empty(0, np.int64)
 
 
 def _logistic(raw, labels, weights) -> tuple[float, float]:
@@ -249,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     )
     sizes = _class_sizes(labels)
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    none = Model({}, np.empty(0), None, np.empty(0), np.empty(0), share, share)
+    none = Model({}, np.empty(0), None, _NONE, _NONE, share, share)
     if len(sizes) < 2:
         return none
     sample = _sample(labels, 1, sizes[1], TOXIC_EXAMPLES).unionByName(
@@ -302,7 +304,7 @@ def _fit(triples, terms, df, count, share, sizes) -> Model:
     toxic_silent = weight[1] * float((silent == 1).sum())
     empty = (toxic_silent + share) / (toxic_silent + weight[0] * float((silent == 0).sum()) + 1)
     if not len(with_terms):
-        return Model(terms, idf, None, np.empty(0), np.empty(0), share, empty)
+        return Model(terms, idf, None, _NONE, _NONE, share, empty)
     column = known.term.map(terms).to_numpy(np.int64)
     raw = (1 + np.log(known.tf.to_numpy(float))) * idf[column]
     # Examples that share their heaviest term come next to each other, which tightens blocks.
@@ -340,19 +342,28 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             T.StructField("evidence", EVIDENCE),
         ]
     )
-    kind = pa.list_(
-        pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])
-    )
 
     def run(batches):
         model = shared.value
         for batch in batches:
-            scored = [model.score(t) for t in batch.column(1).to_pylist()]
+            if not len(batch):
+                continue
+            scores, near, cosines = zip(*map(model.score, batch.column(1).to_pylist()))
+            at = np.concatenate([_NONE, *near])
+            evidence = pa.StructArray.from_arrays(
+                [
+                    pa.array(model.ids[at], pa.int64()),
+                    pa.array(model.toxic[at].astype(np.int32)),
+                    pa.array(np.concatenate([_NONE, *cosines]), pa.float64()),
+                ],
+                ["doc_id", "toxic", "cosine"],
+            )
+            ends = np.cumsum([0, *map(len, near)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([s for s, _ in scored], pa.float64()),
-                    pa.array([e for _, e in scored], kind),
+                    pa.array(scores, pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(ends), evidence),
                 ],
                 ["doc_id", "score", "evidence"],
             )
