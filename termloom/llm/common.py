@@ -31,7 +31,8 @@ def located(docs: DataFrame, label: str = "located") -> DataFrame:
     """``docs`` with the columns of ``ROW``, which name each row even if ids repeat or are null.
 
     The place is that in the file, so it survives retries and is the same in every scan. A frame
-    that is not a plain file scan is written to the shared folder first.
+    that is not a plain file scan is written to the shared folder first. Columns that are named
+    like those of ``ROW`` are left out.
     """
 
     def place(frame: DataFrame) -> DataFrame:
@@ -48,15 +49,15 @@ def located(docs: DataFrame, label: str = "located") -> DataFrame:
         return place(stage(clean, label))
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose ``ROW`` is in ``dropped``.
+def without(placed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``placed`` less the rows whose ``ROW`` is in ``dropped``, and without ``ROW``.
 
     The dropped places are broadcast only if they measure small; otherwise both sides shuffle.
     """
     dropped = dropped.select(*ROW)
     if fits_broadcast(dropped):
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, list(ROW), "left_anti")
+    return placed.join(dropped, list(ROW), "left_anti").drop(*ROW)
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -62,6 +62,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``doc_id``, place, ``item_id``, ``start`` (word of the document at which the item would begin),
     ``agreeing`` (equal words in the best window) and ``covered`` (share of the item's words found).
     """
+    return _overlaps(located(docs), benchmark)
+
+
+def _overlaps(placed: DataFrame, benchmark: DataFrame) -> DataFrame:
     all_items = items(benchmark)
     longest = max(len(m) for m in MASKS)
     counted = all_items.agg(
@@ -69,7 +73,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).first()
     masks = MASKS if (counted[1] or longest) >= longest else (*MASKS, SHORT_MASK)
     blocks = -(-counted[0] * len(masks) // BLOCK_SEEDS) or 1
-    placed = located(docs)
     array = F.col("words")
     read = placed.select(F.col("doc_id").cast("long"), *ROW, words(text_column()).alias("words"))
     seeds = read.select("*", F.posexplode("words").alias("at", "word")).select(
@@ -117,5 +120,5 @@ def _confirmed(seeds: DataFrame, own: DataFrame, masks: tuple[str, ...]) -> Data
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs``, all columns unchanged, without the rows that overlap an item."""
-    kept = without(located(docs), overlaps(docs, benchmark).select(*ROW).distinct())
-    return kept.select(*docs.columns)
+    placed = located(docs)
+    return without(placed, _overlaps(placed, benchmark).select(*ROW).distinct())

@@ -124,8 +124,11 @@ def decide(docs: DataFrame, store: str | None = None) -> DataFrame:
     With the ``store`` of an earlier call on a table that has since got more files, only the new
     files' rows go through the stream.
     """
-    spark = docs.sparkSession
-    placed = located(docs)
+    return _decide(located(docs), store)
+
+
+def _decide(placed: DataFrame, store: str | None = None) -> DataFrame:
+    spark = placed.sparkSession
     new = arrivals(placed)
     if store is None:
         store = new_path(spark, "exact-dedup")
@@ -168,5 +171,5 @@ def is_kept():
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs``, all columns unchanged, with one row of each group of equal texts."""
-    kept = without(located(docs), decide(docs).filter(~is_kept()))
-    return kept.select(*docs.columns)
+    placed = located(docs)
+    return without(placed, _decide(placed).filter(~is_kept()))

@@ -389,8 +389,11 @@ def classify(docs: DataFrame) -> DataFrame:
 
     ``class_id`` is the smallest id of the class; ``keep`` says whether the row stays.
     """
-    placed = located(docs)
-    factors = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(docs))
+    return _classify(located(docs))
+
+
+def _classify(placed: DataFrame) -> DataFrame:
+    factors = placed.sparkSession.sparkContext.broadcast(inverse_frequencies(placed))
     signed = stage(signatures(placed, factors), "near-dedup-signatures")
     rank = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "doc_id", *ROW)
     distinct = signed.groupBy("digest").agg(
@@ -426,5 +429,5 @@ def classify(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs``, all columns unchanged, with one row of each class."""
-    kept = without(located(docs), classify(docs).filter(~F.col("keep")))
-    return kept.select(*docs.columns)
+    placed = located(docs)
+    return without(placed, _classify(placed).filter(~F.col("keep")))
