@@ -88,9 +88,15 @@ def parts(placed: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", *ROW, "number", "part.*")
     order = Window.partitionBy(*ROW, "kind").orderBy("number")
     end = F.sum(F.col("gap") + F.col("length")).over(order)
-    rows = rows.withColumn("end", end).filter("kept is null or kept")
+    rows = rows.withColumn("end", end)
+    # A match that is dropped leaves its document's row.
+    start = F.when(F.col("kept"), F.col("end") - F.col("length"))
     return rows.select(
-        "doc_id", *ROW, "kind", (F.col("end") - F.col("length")).alias("start"), "end"
+        "doc_id",
+        *ROW,
+        F.when(F.col("kept"), F.col("kind")).alias("kind"),
+        start.alias("start"),
+        F.when(F.col("kept"), F.col("end")).alias("end"),
     )
 
 

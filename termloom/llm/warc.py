@@ -79,10 +79,10 @@ def first_copies(placed: DataFrame) -> DataFrame:
     return groups.filter("n > 1").select("digest", "first")
 
 
-def _record(page_id, url, payload: bytes, digest: str, refers_to, is_revisit: bool) -> bytes:
+def _record(page_id, url, payload: bytes, digest: str, refers_to, is_revisit, place) -> bytes:
     fields = [
         ("WARC-Type", "revisit" if is_revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id} {digest}')}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{place} {digest}')}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("X-Payload-Length", str(len(payload))),
@@ -111,7 +111,7 @@ class _Archive:
         task = TaskContext.get()
         self.name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.warc.zst"
         store.create_dir(root, recursive=True)
-        self.out = store.open_output_stream(f"{root}/{self.name}")
+        self.out = store.open_output_stream(f"{root}/{self.name}", compression=None)
         self.records = self.bytes = 0
         if dictionary:
             self._put(struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary)
@@ -137,12 +137,11 @@ def _writer(folder: str, dictionary):
             done.append((archive.name, archive.records, archive.bytes))
 
         for batch in batches:
-            for page_id, url, html, digest, refers_to, is_revisit in zip(
-                *(batch.column(i).to_pylist() for i in range(6))
-            ):
+            columns = [batch.column(i).to_pylist() for i in range(8)]
+            for page_id, url, html, digest, refers_to, is_revisit, *place in zip(*columns):
                 archive = archive or _Archive(folder, given)
                 payload = html.encode()
-                record = _record(page_id, url, payload, digest, refers_to, is_revisit)
+                record = _record(page_id, url, payload, digest, refers_to, is_revisit, place)
                 archive.add(packer.compress(record))
                 if archive.bytes >= ARCHIVE_BYTES:
                     close()
@@ -162,24 +161,26 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
     """Write every page; the folder and the manifest (``file``, ``records``, ``bytes``)."""
     spark = pages.sparkSession
     folder = folder or new_path(spark, "warc")
-    if "://" not in folder and folder.startswith("file:"):
-        folder = f"file://{folder[5:]}"
-    elif "://" not in folder:
-        folder = f"file://{folder}"
+    if "://" not in folder:
+        folder = f"file://{folder.removeprefix('file:')}"
     placed = located(pages)
     firsts = stage(first_copies(placed), "warc-copies")
     if fits_broadcast(firsts):
         firsts = F.broadcast(firsts)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = placed.select(
-        "page_id", F.col("url").cast("string"), html.alias("html"), *ROW,
-        F.sha2(html.cast("binary"), 256).alias("digest"),
-    ).join(firsts, "digest", "left")
+    digest = F.sha2(html.cast("binary"), 256).alias("digest")
+    rows = placed.select("page_id", F.col("url").cast("string"), html.alias("html"), *ROW, digest)
+    rows = rows.join(firsts, "digest", "left")
     same = (F.col("first._file") == F.col("_file")) & (F.col("first._at") == F.col("_at"))
     is_revisit = F.coalesce(~same, F.lit(False))
-    refers_to = F.when(is_revisit, F.col("first.page_id"))
     rows = rows.select(
-        F.col("page_id").cast("long"), "url", "html", "digest", refers_to.alias("refers_to"), is_revisit.alias("revisit")
+        F.col("page_id").cast("long"),
+        "url",
+        "html",
+        "digest",
+        F.when(is_revisit, F.col("first.page_id")).alias("refers_to"),
+        is_revisit.alias("revisit"),
+        *ROW,
     )
     dictionary = spark.sparkContext.broadcast(train_dictionary(pages))
     manifest = rows.mapInArrow(_writer(folder, dictionary), "file string, records long, bytes long")
@@ -283,7 +284,7 @@ def _reader(folder: str, with_html: bool):
         for batch in batches:
             for file, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, held, count = [], 0, 0
-                with store.open_input_stream(f"{root}/{file}") as stream:
+                with store.open_input_stream(f"{root}/{file}", compression=None) as stream:
                     for at, data in _frames(stream, file):
                         try:
                             row = _page(*parse_record(data))
