@@ -136,7 +136,7 @@ def sanitized_postings(spark, sf):
             ).withColumn("position", F.lit(1))
         )
     )
-    return sanitize(damaged, ("position",))
+    return sanitize(damaged, ("position",)).withColumn("tf", F.col("tf").cast("int"))
 
 
 @query
@@ -268,6 +268,36 @@ def term_topk(spark, sf):
     return search.term_topk(postings(spark, sf), sources, "THE", 10)
 
 
+@query
+def term_topk_texts(spark, sf):
+    """The ranked query with whole documents, under the name of their own id."""
+    stored = table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
+    return search.term_topk(postings(spark, sf), stored, "of", 5, id_column="id")
+
+
+@query
+def search_folded_index(spark, sf):
+    """An index that folds to ASCII, searched as it cuts texts."""
+    path = new_path(spark, "index")
+    index_store.rebuild_index(docs(spark, sf), path, TokenOptions(ascii_fold=True))
+    index = index_store.read_postings(spark, path)
+    return search.search(index, "ÈRE", "or", options=index_store.read_options(spark, path))
+
+
+@query
+def search_ascii_index(spark, sf):
+    path = new_path(spark, "index")
+    index_store.rebuild_index(docs(spark, sf), path, TokenOptions(mode="ascii"))
+    index = index_store.read_postings(spark, path)
+    options = index_store.read_options(spark, path)
+    return search.search(index, "the-of", "and", limit=1e30, options=options)
+
+
+@query
+def document_lookup_by_id(spark, sf):
+    return lookup.document_by_id(table(spark, sf, "documents"), 77, "doc_id")
+
+
 @query
 def snippets(spark, sf):
     terms = F.array(F.lit("the"), F.lit("und"))
@@ -390,6 +420,17 @@ def inserted_documents(spark, sf):
     return store.new_documents(batch_rows, 1000, [F.col("external_id")])
 
 
+@query
+def upsert_rejects(spark, sf):
+    """Changes that the documents table refuses; every fifth page has no title, every seventh no body."""
+    changes = table(spark, sf, "pages").select(
+        external_id(F.col("page_id")).alias("external_id"),
+        F.when(F.col("page_id") % 5 != 0, F.col("url")).alias("title"),
+        F.when(F.col("page_id") % 7 != 0, F.col("html")).alias("body"),
+    )
+    return store.upsert_rejects(changes).select("external_id", "reason")
+
+
 @query
 def upserted_documents(spark, sf):
     """Documents, some without a key, overlaid with the web pages by key."""
@@ -469,7 +510,7 @@ def json_index(spark, sf):
     corpus_docs = docs(spark, sf)
     path = new_path(spark, "index-json")
     index_json.write_index_json(build_postings(corpus_docs), path, corpus_docs.count())
-    return index_json.read_index_json(spark, path)
+    return index_json.read_index_json(spark, path).withColumn("tf", F.col("tf").cast("int"))
 
 
 @query
@@ -488,19 +529,30 @@ def streamed_index(spark, sf):
 
 @query
 def index_checks(spark, sf):
+    """A stored index that lacks the documents from 500 on, against the whole corpus."""
     corpus_docs = docs(spark, sf)
+    path = new_path(spark, "index")
+    index_store.rebuild_index(corpus_docs.filter(F.col("doc_id") < 500), path)
     return quality.index_checks(
-        build_postings(corpus_docs),
+        index_store.read_postings(spark, path),
         corpus_docs,
         lowest_doc_id=1,
         expected_terms=("the", "of", "nosuchterm"),
-        expected_doc_count=corpus_docs.count(),
+        expected_doc_count=index_store.read_stats(spark, path).first()["doc_count"],
     )
 
 
 @query
 def block_checks(spark, sf):
-    return quality.block_checks(to_blocks(postings(spark, sf), block_docs=100))
+    """Blocks of which those of every other block number are emptied or reversed."""
+    blocks = to_blocks(postings(spark, sf), block_docs=100)
+    number = F.col("block") % 3
+    damaged = (
+        F.when(number == 1, F.slice("postings", 1, 0))
+        .when(number == 2, F.reverse("postings"))
+        .otherwise(F.col("postings"))
+    )
+    return quality.block_checks(blocks.withColumn("postings", damaged))
 
 
 @query
@@ -524,6 +576,17 @@ def index_freshness(spark, sf):
     return quality.freshness(index_store.read_postings(spark, path), build_postings(corpus_docs))
 
 
+@query
+def index_staleness(spark, sf):
+    """A stored index whose documents have changed since."""
+    corpus_docs = docs(spark, sf)
+    path = new_path(spark, "index")
+    index_store.rebuild_index(corpus_docs, path)
+    text = F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit(" of"))).otherwise(F.col("text"))
+    changed = build_postings(corpus_docs.withColumn("text", text))
+    return quality.freshness(index_store.read_postings(spark, path), changed)
+
+
 @query
 def index_fingerprint(spark, sf):
     return quality.fingerprint(postings(spark, sf))

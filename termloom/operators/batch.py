@@ -8,15 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import QUERY_OPTIONS, TokenOptions, tokenize
-from termloom.operators.search import PAGE_DOCS
-from termloom.plans.joins import BROADCAST_BYTES, attach, fits_broadcast
+from termloom.operators.search import DECIMAL, LARGEST_LIMIT, PAGE_DOCS
+from termloom.plans.joins import BROADCAST_BYTES, ROW_OVERHEAD, attach
 from termloom.plans.numbering import GROUP_LIMIT, first_per_group
 from termloom.plans.staging import stage
 
-# What a number in a request may look like.
-DECIMAL = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-LARGEST_LIMIT = 9e18
-
 
 def check_requests(requests: DataFrame) -> DataFrame:
     """Requests ``query_id, q, mode, limit`` as text, with the checked values and a ``reason``.
@@ -32,7 +28,9 @@ def check_requests(requests: DataFrame) -> DataFrame:
     )
     bad_limit = (raw != "") & (number.isNull() | (number < 0) | (number == float("inf")))
     checked_mode = F.when(mode == "or", "or").when(mode.isin("and", ""), "and")
-    whole = F.floor(F.least(number, F.lit(LARGEST_LIMIT))).cast("long")
+    whole = F.when(number >= float(LARGEST_LIMIT), F.lit(LARGEST_LIMIT)).otherwise(
+        F.floor(number).cast("long")
+    )
     return requests.select(
         "query_id",
         "q",
@@ -91,8 +89,9 @@ def _or_hits(postings: DataFrame, queries: DataFrame, first: int | None, size: d
 def _and_hits(postings: DataFrame, queries: DataFrame, size: dict) -> DataFrame:
     """``query_id, limit, doc_id``, distinct.
 
-    Only a query's rarest term is joined to the postings; the other terms are checked on those
-    candidates. The work follows the rarest term, not the most frequent one.
+    Only a query's rarest term is joined to the postings. Each of its documents then looks up the
+    other terms by term and document, so what is shuffled and grouped follows the rarest term;
+    frequent terms' postings are only read and filtered.
     """
     words = _distinct_terms(queries)
     found_in = postings.groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
@@ -119,22 +118,22 @@ def _and_hits(postings: DataFrame, queries: DataFrame, size: dict) -> DataFrame:
     single = attach(postings, anchors.filter(alone), "term", **size).select(
         "query_id", "limit", "doc_id"
     )
-    several = anchors.filter(~alone)
-    candidates = attach(postings, several, "term", **size)
-    # The other query terms each document has: at most the distinct terms of one document.
-    terms_of_doc = (
-        attach(
-            postings,
-            several.select(F.explode("others").alias("term")),
-            "term",
-            "left_semi",
-            **size,
-        )
-        .groupBy("doc_id")
-        .agg(F.collect_list("term").alias("present"))
+    # One row per candidate and other term, which has a posting or has not.
+    wanted = stage(
+        attach(postings, anchors.filter(~alone), "term", **size).select(
+            "query_id",
+            "limit",
+            "doc_id",
+            F.size("others").alias("wanted"),
+            F.explode("others").alias("term"),
+        ),
+        "candidates",
     )
-    verified = candidates.join(terms_of_doc, "doc_id").filter(
-        F.size(F.array_except("others", "present")) == 0
+    checked = wanted.join(postings.select("term", "doc_id"), ["term", "doc_id"])
+    verified = (
+        checked.groupBy("query_id", "limit", "doc_id", "wanted")
+        .agg(F.count(F.lit(1)).alias("found"))
+        .filter(F.col("found") == F.col("wanted"))
     )
     return single.unionByName(verified.select("query_id", "limit", "doc_id"))
 
@@ -149,13 +148,6 @@ def batch_hits(
     joins that suit it.
     """
     words = _distinct_terms(prepared)
-    # The sides joined below are parts of this table, or its rows folded per query.
-    size = {
-        "broadcast_bytes": broadcast_bytes,
-        "fits": fits_broadcast(words, broadcast_bytes),
-    }
-    relevant = attach(postings, words.select("term"), "term", "left_semi", **size)
-    postings = stage(relevant.select("term", "doc_id"), "relevant")
     limit = F.col("limit")
     is_or = F.col("mode") == "or"
     kinds = {
@@ -165,7 +157,9 @@ def batch_hits(
     }
     asked = F.size("terms") > 0
     modes = {"or": is_or, "and": ~is_or}
+    row = F.size("terms") * (ROW_OVERHEAD + 48) + F.octet_length(F.concat_ws("", "terms"))
     seen = prepared.agg(
+        F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes"),
         *[F.max(F.when(kind & asked, limit)).alias(name) for name, kind in kinds.items()],
         *[
             F.coalesce(F.bool_or(kind & asked & chosen), F.lit(False)).alias(f"{mode}_{name}")
@@ -173,6 +167,10 @@ def batch_hits(
             for mode, chosen in modes.items()
         ],
     ).first()
+    # The sides joined below are parts of ``words``, or its rows folded per query.
+    size = {"broadcast_bytes": broadcast_bytes, "fits": seen["bytes"] <= broadcast_bytes}
+    relevant = attach(postings, words.select("term"), "term", "left_semi", **size)
+    postings = stage(relevant.select("term", "doc_id"), "relevant")
 
     def cut(hits: DataFrame, name: str) -> DataFrame:
         if name == "free":
@@ -200,33 +198,27 @@ def batch_responses(
     queries: DataFrame,
     page_docs: int = PAGE_DOCS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    options: TokenOptions = QUERY_OPTIONS,
 ) -> DataFrame:
     """``query_id, q, mode, terms, count, page, doc_ids``: the answers to a batch of queries.
 
-    ``count`` is taken after the limit. Hits are paged by doc-id range, except that a query
-    with a small limit has one page; a query without hits has one empty page.
+    ``count`` is taken after the limit. Hits are paged by doc-id range; a query without hits has
+    one empty page. ``options`` are those of the index.
     """
-    prepared = prepare(queries)
+    prepared = prepare(queries, options)
     hits = stage(batch_hits(postings, prepared, broadcast_bytes), "batch-hits")
     counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("count"))
     answered = stage(
         prepared.join(counts, "query_id", "left").select(
-            "query_id", "q", "mode", "terms", "limit",
-            F.coalesce("count", F.lit(0)).alias("count"),
+            "query_id", "q", "mode", "terms", F.coalesce("count", F.lit(0)).alias("count")
         ),
         "answered",
     )
-    paging = answered.filter(F.col("count") > 0).select(
-        "query_id", (F.coalesce("limit", F.lit(GROUP_LIMIT + 1)) <= GROUP_LIMIT).alias("one_page")
-    )
-    page = F.when(F.col("one_page"), F.lit(0)).otherwise(F.floor(F.col("doc_id") / page_docs))
-    pages = (
-        attach(hits, paging, "query_id", broadcast_bytes=broadcast_bytes)
-        .groupBy("query_id", page.cast("long").alias("page"))
-        .agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids"))
+    page = F.floor(F.col("doc_id") / page_docs).cast("long").alias("page")
+    pages = hits.groupBy("query_id", page).agg(
+        F.sort_array(F.collect_list("doc_id")).alias("doc_ids")
     )
     columns = ["query_id", "q", "mode", "terms", "count", "page", "doc_ids"]
-    answered = answered.drop("limit")
     filled = attach(pages, answered, "query_id", broadcast_bytes=broadcast_bytes)
     empty = answered.filter(F.col("count") == 0).select(
         "*", F.lit(0).cast("long").alias("page"), F.array().cast("array<bigint>").alias("doc_ids")

@@ -31,14 +31,15 @@ def narrowed(documents: DataFrame, hits: DataFrame) -> DataFrame:
     return documents
 
 
-def with_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
+def with_documents(hits: DataFrame, documents: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Each hit with its document; a hit whose document is missing keeps nulls."""
+    documents = documents.withColumnRenamed(id_column, "doc_id")
     return hits.join(narrowed(documents, hits), "doc_id", "left")
 
 
-def existing(hits: DataFrame, documents: DataFrame) -> DataFrame:
-    """The hits whose document is stored."""
-    return hits.join(documents.select("doc_id"), "doc_id", "left_semi")
+def existing(hits: DataFrame, documents: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """The hits whose document is stored; only the documents' ids are read."""
+    return hits.join(documents.select(F.col(id_column).alias("doc_id")), "doc_id", "left_semi")
 
 
 def term_postings(postings: DataFrame, *terms: str) -> DataFrame:

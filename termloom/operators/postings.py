@@ -10,6 +10,7 @@ from termloom.functions.text import DEFAULT_OPTIONS, TokenOptions, term_counts,
 # Documents per posting block. A block row holds at most this many postings, so the postings
 # of a term found in every document are spread over many rows and tasks.
 BLOCK_DOCS = 8192
+_LARGEST = (1 << 63) - 1
 
 
 def token_table(docs: DataFrame, options: TokenOptions = DEFAULT_OPTIONS) -> DataFrame:
@@ -60,8 +61,9 @@ def sanitize(postings: DataFrame, order: tuple[str, ...] = ("block", "position")
 
     Ids that are null, negative or not whole are dropped, a frequency that is not a finite
     positive number becomes 0, and of several postings of a document the last one counts.
+    ``tf`` is a long; beyond its range stands its largest value.
     """
-    exact = F.expr("try_cast(doc_id AS DECIMAL(38, 6))")
+    exact = F.expr("try_cast(doc_id AS DECIMAL(38, 18))")
     whole = exact.isNotNull() & (exact >= 0) & (exact == F.floor(exact))
     tf = F.col("tf").cast("double")
     usable = tf.isNotNull() & ~F.isnan(tf) & (tf > 0) & (tf < float("inf"))
@@ -70,7 +72,10 @@ def sanitize(postings: DataFrame, order: tuple[str, ...] = ("block", "position")
         .select(
             "term",
             F.expr("try_cast(doc_id AS BIGINT)").alias("doc_id"),
-            F.when(usable, F.expr("try_cast(tf AS INT)")).otherwise(0).alias("tf"),
+            F.when(usable & (tf >= float(_LARGEST)), F.lit(_LARGEST))
+            .when(usable, tf.cast("long"))
+            .otherwise(F.lit(0).cast("long"))
+            .alias("tf"),
             F.struct(*order).alias("_place"),
         )
         .groupBy("term", "doc_id")

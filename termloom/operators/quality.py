@@ -67,12 +67,16 @@ def block_checks(blocks: DataFrame) -> DataFrame:
 
 
 def fingerprint(postings: DataFrame) -> DataFrame:
-    """One row that is equal for equal indexes, however they are partitioned or ordered."""
-    h = F.xxhash64("term", "doc_id", "tf")
+    """One row that is equal for equal indexes, however they are partitioned or ordered.
+
+    ``hash_sum`` adds the first 60 bits of SHA-256 over ``term|doc_id|tf``.
+    """
+    text = F.concat_ws("|", "term", F.col("doc_id").cast("string"), F.col("tf").cast("string"))
+    first = F.substring(F.sha2(text.cast("binary"), 256), 1, 15)
+    h = F.conv(first, 16, 10).cast("decimal(38,0)")
     return postings.agg(
         F.count(F.lit(1)).alias("postings"),
-        F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).alias("hash_sum"),
-        F.coalesce(F.bit_xor(h), F.lit(0)).alias("hash_xor"),
+        F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("hash_sum"),
     )
 
 
@@ -90,7 +94,6 @@ def freshness(stored: DataFrame, rebuilt: DataFrame) -> DataFrame:
         (
             (F.min("postings") == F.max("postings"))
             & (F.min("hash_sum") == F.max("hash_sum"))
-            & (F.min("hash_xor") == F.max("hash_xor"))
         ).alias("fresh"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from dataclasses import replace
 
@@ -11,12 +12,16 @@ from pyspark.sql import functions as F
 
 from termloom.functions.snippet import snippet
 from termloom.functions.text import QUERY_OPTIONS, TokenOptions, tokenize
-from termloom.operators.lookup import narrowed
+from termloom.operators.lookup import existing, narrowed
 from termloom.plans.numbering import GROUP_LIMIT, first_by_id
+from termloom.plans.staging import stage
 
-# Documents per page of a response without a small limit. Pages are ranges of doc_id, so a
-# page has at most this many hits and no row grows with the corpus.
+# Documents per page of a response. Pages are ranges of doc_id, so a page has at most this many
+# hits and no row grows with the corpus.
 PAGE_DOCS = 8192
+# What a number in a request may look like.
+DECIMAL = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+LARGEST_LIMIT = (1 << 63) - 1
 
 
 def check_mode(mode: str | None) -> str:
@@ -26,20 +31,26 @@ def check_mode(mode: str | None) -> str:
         return "and"
     if lowered == "or":
         return "or"
-    raise ValueError("invalid_mode: mode must be and|or")
+    raise ValueError("invalid_mode: known modes are and, or")
 
 
 def check_limit(limit) -> int | None:
-    """None when absent, otherwise the whole part of a finite number of at least 0."""
+    """None when absent, otherwise the whole part of a finite number of at least 0.
+
+    Texts are read as the batch form reads them: a blank one is 0, and ``DECIMAL`` is the form of
+    all others. A number beyond ``LARGEST_LIMIT`` asks for all hits, as that does.
+    """
     if limit is None or limit == "":
         return None
+    if isinstance(limit, str):
+        limit = 0 if not limit.strip(" ") else limit if re.match(DECIMAL, limit) else math.nan
     try:
         number = float(limit)
     except (TypeError, ValueError):
         number = math.nan
     if not math.isfinite(number) or number < 0:
-        raise ValueError("invalid_limit: limit must be a non-negative number")
-    return int(number)
+        raise ValueError("invalid_limit: the limit has to be a finite number from 0")
+    return min(int(number), LARGEST_LIMIT)
 
 
 def query_terms(
@@ -51,7 +62,8 @@ def query_terms(
     """
     text = unicodedata.normalize("NFC", q or "")
     cut = tokenize(F.lit(text), replace(options, assume_nfc=True))
-    return list(spark.range(1).select(cut.alias("terms")).first()["terms"])
+    # A literal row, which the optimizer evaluates: no job is run.
+    return list(spark.sql("VALUES (1)").select(cut.alias("terms")).first()["terms"])
 
 
 def matching_docs(postings: DataFrame, terms: list[str], mode: str = "and") -> DataFrame:
@@ -82,10 +94,19 @@ def ordered(hits: DataFrame, limit: int | None) -> DataFrame:
     return hits.orderBy("doc_id") if limit is None else first_by_id(hits, limit)
 
 
-def search(postings: DataFrame, q: str, mode: str | None = "and", limit=None) -> DataFrame:
-    """``doc_id`` of the documents matching ``q``, ascending."""
+def search(
+    postings: DataFrame,
+    q: str,
+    mode: str | None = "and",
+    limit=None,
+    options: TokenOptions = QUERY_OPTIONS,
+) -> DataFrame:
+    """``doc_id`` of the documents matching ``q``, ascending.
+
+    ``options`` are those of the index (``index_store.read_options``).
+    """
     mode, limit = check_mode(mode), check_limit(limit)
-    terms = query_terms(postings.sparkSession, q)
+    terms = query_terms(postings.sparkSession, q, options)
     return ordered(matching_docs(postings, terms, mode), limit)
 
 
@@ -123,24 +144,29 @@ def search_response(
     limit=None,
     docs: DataFrame | None = None,
     page_docs: int = PAGE_DOCS,
+    options: TokenOptions = QUERY_OPTIONS,
+    id_column: str = "doc_id",
 ) -> DataFrame:
-    """``q, mode, terms, count, page, doc_ids[, results]``, one row for a small limit.
+    """``q, mode, terms, count, page, doc_ids[, results]``.
 
-    ``count`` is the number of hits after the limit and stands on every page. Without a limit
-    the hits are paged by doc-id range; a search without hits has one empty page. ``results``
-    (``doc_id, snippet``) is added when ``docs`` is given.
+    ``count`` is the number of hits after the limit and stands on every page. The hits are paged
+    by doc-id range; a search without hits has one empty page. ``results`` (``doc_id, snippet``)
+    is added when ``docs`` is given. The postings are read once: the hits are held by the driver
+    if a limit keeps them few, and written otherwise. ``options`` are those of the index.
     """
     mode, limit = check_mode(mode), check_limit(limit)
-    terms = query_terms(postings.sparkSession, q)
+    terms = query_terms(postings.sparkSession, q, options)
     hits = matching_docs(postings, terms, mode)
+    docs = docs.withColumnRenamed(id_column, "doc_id") if docs is not None else None
     page = F.floor(F.col("doc_id") / page_docs).cast("long")
     if limit is not None:
         hits = first_by_id(hits, limit)
     if limit is not None and limit <= GROUP_LIMIT:
-        page = F.lit(0).cast("long")
         # At most GROUP_LIMIT rows; as literals they let the document scan skip row groups.
         hits, ids = _local(hits)
         docs = docs.filter(F.col("doc_id").isin(ids)) if docs is not None else None
+    else:
+        hits = stage(hits, "hits")
     total = hits.agg(F.count(F.lit(1)))
     if docs is not None:
         hits = hits_with_snippets(hits, docs, terms)
@@ -166,21 +192,31 @@ def search_response(
 
 
 def term_topk(
-    postings: DataFrame, documents: DataFrame, term: str, k: int = 10, verified: bool = False
+    postings: DataFrame,
+    documents: DataFrame,
+    term: str,
+    k: int = 10,
+    verified: bool = False,
+    id_column: str = "doc_id",
 ) -> DataFrame:
     """The ``k`` documents with the highest frequency of ``term``, ties by the lower id.
 
     The term is lowercased, not tokenised. Postings without a stored document do not count, so
-    the join comes before the cut. For an index known to match its documents (``verified``, see
-    ``quality.freshness``) the cut comes first and only ``k`` documents are looked up.
+    only the documents' ids meet the postings before the cut; an index known to match its
+    documents (``verified``, see ``quality.freshness``) needs not even that. Whole documents are
+    then read for the ``k`` that are left.
     """
     if k < 1:
         raise ValueError("k must be a positive integer")
+    documents = documents.withColumnRenamed(id_column, "doc_id")
     matches = postings.filter(F.col("term") == term.lower()).select("doc_id", "tf")
+    if not verified:
+        matches = existing(matches, documents)
     best = [F.desc("tf"), F.asc("doc_id")]
-    if verified and k <= GROUP_LIMIT:
-        # At most GROUP_LIMIT rows; their ids as literals let the document scan skip row groups.
-        top, ids = _local(matches.orderBy(*best).limit(k))
-        found = documents.filter(F.col("doc_id").isin(ids))
-        return found.join(F.broadcast(top), "doc_id").orderBy(*best)
-    return documents.join(matches, "doc_id").orderBy(*best).limit(k)
+    top = matches.orderBy(*best).limit(k)
+    if k > GROUP_LIMIT:
+        return documents.join(top, "doc_id").orderBy(*best)
+    # At most GROUP_LIMIT rows; their ids as literals let the document scan skip row groups.
+    top, ids = _local(top)
+    found = documents.filter(F.col("doc_id").isin(ids))
+    return found.join(F.broadcast(top), "doc_id").orderBy(*best)

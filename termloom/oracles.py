@@ -213,7 +213,7 @@ WHERE term = 'the' ORDER BY tf DESC, d.doc_id LIMIT 10""",
     "batch_responses": f"""{WITH}, {QUERIES_SQL},
 totals AS (SELECT query_id, count(*) AS n FROM hits GROUP BY query_id),
 pages AS (
-  SELECT query_id, CASE WHEN lim IS NULL THEN doc_id // 100 ELSE 0 END AS page,
+  SELECT query_id, doc_id // 100 AS page,
     string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids
   FROM hits GROUP BY 1, 2)
 SELECT c.query_id, mode, CAST(len(terms) AS BIGINT) AS term_count, coalesce(n, 0) AS count,
@@ -264,16 +264,19 @@ SELECT count(*) AS doc_count, (SELECT count(*) FROM postings) AS posting_count,
     "streamed_index": POSTINGS,
     "index_checks": f"""{WITH}
 SELECT 'term' AS rule, count(*) FILTER (WHERE term IS NULL OR term = '') AS violations
-FROM postings
-UNION ALL SELECT 'doc_id', count(*) FILTER (WHERE doc_id < 1) FROM postings
-UNION ALL SELECT 'tf', count(*) FILTER (WHERE tf < 1) FROM postings
-UNION ALL SELECT 'expected_term:' || t, CASE WHEN t IN (SELECT term FROM postings)
+FROM postings WHERE doc_id < 500
+UNION ALL SELECT 'doc_id', count(*) FILTER (WHERE doc_id < 1) FROM postings WHERE doc_id < 500
+UNION ALL SELECT 'tf', count(*) FILTER (WHERE tf < 1) FROM postings WHERE doc_id < 500
+UNION ALL SELECT 'expected_term:' || t, CASE WHEN t IN (SELECT term FROM postings WHERE doc_id < 500)
   THEN 0 ELSE 1 END FROM (VALUES ('the'), ('of'), ('nosuchterm')) v(t)
-UNION ALL SELECT 'duplicate_posting', count(*) - count(DISTINCT (term, doc_id)) FROM postings
-UNION ALL SELECT 'doc_count', count(*) - count(DISTINCT doc_id) FROM documents""",
+UNION ALL SELECT 'duplicate_posting', count(*) - count(DISTINCT (term, doc_id)) FROM postings WHERE doc_id < 500
+UNION ALL SELECT 'doc_count', CASE WHEN count(*) = count(*) FILTER (WHERE doc_id < 500)
+  THEN 0 ELSE 1 END FROM documents""",
     "block_checks": f"""{WITH},
-blocks AS (SELECT term, list(doc_id ORDER BY doc_id) AS ids FROM postings
-  GROUP BY term, doc_id // 100)
+blocks AS (
+  SELECT CASE doc_id // 100 % 3 WHEN 0 THEN list(doc_id ORDER BY doc_id) WHEN 1 THEN []
+    ELSE list(doc_id ORDER BY doc_id DESC) END AS ids
+  FROM postings GROUP BY term, doc_id // 100)
 SELECT 'empty_block' AS rule, count(*) FILTER (WHERE len(ids) < 1) AS violations FROM blocks
 UNION ALL SELECT 'ascending', count(*) FILTER (WHERE ids <> list_sort(ids)) FROM blocks""",
     "required_fields": """
@@ -291,6 +294,29 @@ SELECT doc_id, 'missing' FROM (
     "index_freshness": f"""{WITH}
 SELECT count(*) AS stored_postings, count(*) AS rebuilt_postings,
   count(*) = count(DISTINCT (term, doc_id, tf)) AS fresh FROM postings""",
+    "index_staleness": f"""{WITH}
+SELECT count(*) AS stored_postings, count(*) + (
+    SELECT count(*) FROM documents d WHERE doc_id % 10 = 0 AND NOT EXISTS (
+      SELECT 1 FROM postings p WHERE p.doc_id = d.doc_id AND p.term = 'of')) AS rebuilt_postings,
+  false AS fresh FROM postings""",
+    "index_fingerprint": f"""{WITH}
+SELECT count(*) AS postings, CAST(coalesce(sum(CAST(concat('0x',
+  substr(sha256(concat_ws('|', term, doc_id, tf)), 1, 15)) AS BIGINT)), 0) AS VARCHAR) AS hash_sum
+FROM postings""",
+    "upsert_rejects": """
+SELECT 'doc_' || lpad(CAST(page_id AS VARCHAR), 8, '0') AS external_id,
+  CASE WHEN page_id % 5 = 0 THEN 'title is null' ELSE 'body is null' END AS reason
+FROM pages WHERE page_id % 5 = 0 OR page_id % 7 = 0""",
+    "term_topk_texts": f"""{WITH}
+SELECT d.*, tf FROM postings p JOIN documents d ON d.doc_id = p.doc_id
+WHERE term = 'of' ORDER BY tf DESC, d.doc_id LIMIT 5""",
+    "search_folded_index": """
+SELECT doc_id FROM documents WHERE list_contains(
+  string_split_regex(strip_accents(lower(text)), '[^\\p{L}\\p{N}]+'), 'ere')""",
+    "search_ascii_index": """
+SELECT doc_id FROM documents WHERE list_has_all(
+  string_split_regex(lower(text), '[^a-z0-9]+'), ['the', 'of'])""",
+    "document_lookup_by_id": "SELECT * FROM documents WHERE doc_id = 77",
     "latency_summary": """
 SELECT event_type AS term, count(*) AS n, quantile_disc(value, 0.5) AS p50,
   quantile_disc(value, 0.95) AS p95, min(value) AS min, max(value) AS max

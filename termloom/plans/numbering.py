@@ -9,10 +9,8 @@ from termloom.plans.joins import attach
 from termloom.plans.staging import stage
 
 # Up to this limit Spark keeps the first rows per group before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
+# (spark.sql.optimizer.windowGroupLimitThreshold), and one task may merge the tasks' first rows.
 GROUP_LIMIT = 1000
-# Up to this limit a sorted prefix is kept per partition and merged in one task.
-TOP_LIMIT = 100_000
 # Ids per block when a limit is cut by block counts.
 CUT_BLOCK = 1_000_000
 
@@ -49,7 +47,7 @@ def with_dense_ids(
 
 def first_by_id(rows: DataFrame, limit: int, id_column: str = "doc_id") -> DataFrame:
     """The ``limit`` rows with the smallest ids, ordered by id."""
-    if limit <= TOP_LIMIT:
+    if limit <= GROUP_LIMIT:
         return rows.orderBy(id_column).limit(limit)
     grouped = rows.withColumn("_group", F.lit(0)).withColumn("_limit", F.lit(limit).cast("long"))
     return _cut(grouped, "_group", id_column).select(*rows.columns).orderBy(id_column)

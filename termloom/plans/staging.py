@@ -27,6 +27,18 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the path as it takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return hadoop_path.getFileSystem(conf), hadoop_path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 @contextmanager
 def staged(
     df: DataFrame, label: str, observation: Observation | None = None, *metrics
@@ -37,7 +49,4 @@ def staged(
     try:
         yield stage(df.observe(observation, *metrics) if observation else df, label, path)
     finally:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(
-            hadoop_path, True
-        )
+        remove(spark, path)

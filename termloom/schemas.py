@@ -46,12 +46,24 @@ POSTING_BLOCKS = T.StructType(
 
 INDEX_STATS = T.StructType(
     [
+        T.StructField("source", T.StringType()),
+        T.StructField("build", T.LongType()),
+        T.StructField("options", T.StringType()),
         T.StructField("doc_count", T.LongType()),
         T.StructField("posting_count", T.LongType()),
         T.StructField("max_doc_id", T.LongType()),
     ]
 )
 
+# Which documents each build holds, also those without a token.
+INDEX_IDS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("build", T.LongType()),
+    ]
+)
+
 QUERIES = T.StructType(
     [
         T.StructField("query_id", T.LongType()),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the jobs here rely on. Anything sized to a cluster (executors, memory, the number
@@ -28,20 +25,12 @@ def build_session(app: str = "termloom", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="termloom-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; a cluster has to name one, since a folder
-    on one machine is lost with that machine.
+    Where that is unset, a folder in the warehouse, which a cluster shares as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch()
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"

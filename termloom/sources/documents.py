@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom import schemas
+from termloom.plans import versions
 from termloom.plans.joins import BROADCAST_BYTES, fits_broadcast
 from termloom.plans.numbering import with_dense_ids
-from termloom.plans.staging import staged
 
 # The characters that trimming removes.
 BLANKS = (
@@ -29,11 +29,13 @@ def _text(value: Column) -> Column:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """``file, index, is_object, title, body, created_at`` of JSON batch files.
+    """``file, index, is_object, title, body, created_at, created_at_ok`` of JSON batch files.
 
     A file is ``{"documents": […]}``, ``{"docs": […]}`` or a bare array; ``content`` stands in
-    for ``body`` and ``createdAt`` for ``created_at``. A field that is not a string is null. One
-    file is one task, so large deliveries should come as many files.
+    for ``body`` and ``createdAt`` for ``created_at``. A title or body that is not a string is
+    null; ``created_at_ok`` is false where a time is given but cannot be read. Anything else than
+    an array of documents is an error that names the file. One file is one task, so large
+    deliveries should come as many files.
     """
     files = (
         spark.read.option("multiLine", True)
@@ -45,9 +47,10 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     items = F.when(kind.startswith("ARRAY"), F.col("v")).otherwise(
         _field(F.col("v"), "documents", "docs")
     )
-    return files.select(
-        "file", F.posexplode(items.cast("array<variant>")).alias("index", "item")
-    ).select(
+    is_array = items.isNull() | F.schema_of_variant(items).startswith("ARRAY")
+    wrong = F.raise_error(F.concat(F.lit("documents must be an array in "), F.col("file")))
+    checked = F.when(is_array, F.try_variant_get(items, "$", "array<variant>")).otherwise(wrong)
+    return files.select("file", F.posexplode(checked).alias("index", "item")).select(
         "file",
         "index",
         F.coalesce(F.schema_of_variant("item").startswith("OBJECT"), F.lit(False)).alias(
@@ -55,15 +58,19 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
         ),
         _text(_field(F.col("item"), "title")).alias("title"),
         _text(_field(F.col("item"), "body", "content")).alias("body"),
-        F.expr("try_cast(try_variant_get(item, '$.created_at', 'string') AS TIMESTAMP)").alias(
-            "_created_at"
-        ),
-        F.expr("try_cast(try_variant_get(item, '$.createdAt', 'string') AS TIMESTAMP)").alias(
-            "_createdAt"
+        F.try_variant_get(_field(F.col("item"), "created_at", "createdAt"), "$", "string").alias(
+            "_created"
         ),
     ).select(
-        "file", "index", "is_object", "title", "body",
-        F.coalesce("_created_at", "_createdAt").alias("created_at"),
+        "file",
+        "index",
+        "is_object",
+        "title",
+        "body",
+        F.expr("try_cast(_created AS TIMESTAMP)").alias("created_at"),
+        F.expr("_created IS NULL OR try_cast(_created AS TIMESTAMP) IS NOT NULL").alias(
+            "created_at_ok"
+        ),
     )
 
 
@@ -76,6 +83,8 @@ def reject_reason(batch: DataFrame) -> Column:
     reason = F.when(_blank(F.col("title")), "title is required").when(
         _blank(F.col("body")), "body is required"
     )
+    if "created_at_ok" in batch.columns:
+        reason = reason.when(~F.col("created_at_ok"), "created_at is not a time")
     if "is_object" in batch.columns:
         reason = F.when(~F.col("is_object"), "must be an object").otherwise(reason)
     return reason
@@ -123,7 +132,10 @@ def new_documents(
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DOCUMENTS).parquet(path)
+    table = _existing(spark, path)
+    if table is None:
+        raise FileNotFoundError(f"no documents table at {path}")
+    return table
 
 
 def insert_documents(
@@ -135,7 +147,12 @@ def insert_documents(
     for the order of insertion.
     """
     rows = new_documents(batch, _last_id(_existing(spark, path)), order_by)
-    rows.write.mode("append").parquet(path)
+    folder = versions.current(spark, path)
+    if folder is not None:
+        rows.write.mode("append").parquet(folder)
+    else:
+        with versions.replacing(spark, path) as folder:
+            rows.write.parquet(folder)
     return rows
 
 
@@ -151,9 +168,16 @@ def insert_document(spark: SparkSession, path: str, title, body, created_at=None
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return read_documents(spark, path) if fs.exists(hadoop_path) else None
+    folder = versions.current(spark, path)
+    return spark.read.schema(schemas.DOCUMENTS).parquet(folder) if folder else None
+
+
+def upsert_rejects(batch: DataFrame) -> DataFrame:
+    """The rows of an upsert that the table's constraints refuse, with their ``reason``."""
+    reason = F.when(F.col("title").isNull(), "title is null").when(
+        F.col("body").isNull(), "body is null"
+    )
+    return batch.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def upsert(
@@ -162,10 +186,14 @@ def upsert(
     """The documents table after upserting ``batch(external_id, title, body)``.
 
     A known ``external_id`` gets the new title and body and keeps its id and creation time; the
-    other rows are inserted with new ids. A key twice in one batch is an error. A null key
-    matches nothing, so those rows, which would all meet in one task, stay out of the joins.
+    other rows are inserted with new ids. A null title or body fails the batch, and so does a
+    key twice in it. A null key matches nothing, so those rows stay out of the joins; they are
+    numbered by their content, which spreads them over the tasks.
     """
     batch = batch.select("external_id", "title", "body")
+    refused = upsert_rejects(batch).first()
+    if refused:
+        raise ValueError(f"external_id {refused['external_id']}: {refused['reason']}")
     repeated = (
         batch.filter(F.col("external_id").isNotNull())
         .groupBy("external_id")
@@ -203,7 +231,7 @@ def upsert(
     new_rows = with_dense_ids(
         inserted.select("*", F.current_timestamp().alias("created_at")),
         _last_id(existing),
-        [F.col("external_id")],
+        [F.col("external_id"), F.xxhash64("title", "body")],
     )
     return updated.unionByName(unkeyed.select(*updated.columns)).unionByName(
         new_rows.select(*updated.columns)
@@ -213,16 +241,20 @@ def upsert(
 def upsert_documents(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """``upsert`` into the table at ``path``; one writer at a time.
 
-    The new table is written whole beside the old one before the old one is replaced.
+    The new table is the next version beside the old one, which goes only when it is complete.
     """
     existing = _existing(spark, path)
     if existing is None:
         existing = spark.createDataFrame([], schemas.DOCUMENTS)
-    with staged(upsert(existing, batch), "upsert") as result:
-        result.write.mode("overwrite").parquet(path)
+    with versions.replacing(spark, path) as folder:
+        upsert(existing, batch).write.parquet(folder)
 
 
 def reset(spark: SparkSession, *tables: tuple[str, object]) -> None:
-    """Empty tables given as ``(path, schema)``; ids start at 1 again."""
+    """Empty tables given as ``(path, schema)``; ids start at 1 again.
+
+    An index has ``index_store.reset``.
+    """
     for path, schema in tables:
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        with versions.replacing(spark, path) as folder:
+            spark.createDataFrame([], schema).write.parquet(folder)

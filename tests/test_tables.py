@@ -166,7 +166,9 @@ def test_a_frequent_term_is_split_over_files(spark, tmp_path):
     index_store.rebuild_index(docs, path, rows_per_file=500)
     hot = index_store.read_postings(spark, path).filter("term = 'hot'")
     assert hot.count() == 4000
-    for file in (tmp_path / "index" / "postings").rglob("*.parquet"):
+    files = list((tmp_path / "index").glob("version=*/postings/**/*.parquet"))
+    assert files
+    for file in files:
         rows = pq.read_table(file, columns=["term", "doc_id"]).to_pylist()
         keys = [(row["term"], row["doc_id"]) for row in rows]
         assert keys == sorted(keys)
@@ -200,6 +202,73 @@ def test_whole_index_file(spark, tmp_path):
     assert index_json.read_whole_doc_count(spark, str(tmp_path / "empty.json")).first()[0] == 0
 
 
+def test_a_failed_replacement_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    rows = spark.range(50).selectExpr("'k' || id AS external_id", "'t' AS title", "'b' AS body")
+    store.upsert_documents(spark, path, rows)
+    broken = rows.withColumn(
+        "body", F.when(F.col("external_id") == "k7", F.raise_error(F.lit("torn"))).otherwise("n")
+    )
+    with pytest.raises(Exception, match="torn"):
+        store.upsert_documents(spark, path, broken)
+    table = store.read_documents(spark, path)
+    assert table.count() == 50 and table.filter("body = 'b'").count() == 50
+    index = str(tmp_path / "index")
+    docs = spark.range(20).selectExpr("id AS doc_id", "'word ' || id AS text")
+    index_store.rebuild_index(docs, index)
+    torn = docs.withColumn("text", F.when(F.col("doc_id") == 3, F.raise_error(F.lit("torn"))).otherwise("x"))
+    with pytest.raises(Exception, match="torn"):
+        index_store.rebuild_index(torn, index)
+    assert index_store.read_postings(spark, index).filter("term = 'word'").count() == 20
+    index_store.rebuild_index(docs.limit(5), index)
+    assert len(list((tmp_path / "index").iterdir())) == 1
+
+
+def test_upsert_refuses_nulls_and_spreads_unkeyed_rows(spark):
+    existing = spark.createDataFrame([], schemas.DOCUMENTS)
+    batch = spark.createDataFrame([("a", None, "b")], "external_id string, title string, body string")
+    with pytest.raises(ValueError, match="title is null"):
+        store.upsert(existing, batch)
+    unkeyed = spark.range(20_000).selectExpr(
+        "CAST(NULL AS STRING) AS external_id", "'t' || id AS title", "'b' AS body"
+    )
+    rows = store.upsert(existing, unkeyed)
+    assert rows.agg(F.count_distinct("id"), F.max("id")).first() == (20_000, 20_000)
+
+
+def test_unreadable_times_are_rejected(spark, tmp_path):
+    write(tmp_path / "b.json", [{"title": "a", "body": "b", "createdAt": "soon"},
+                                {"title": "a", "body": "b", "created_at": None},
+                                {"title": "a", "body": "b", "created_at": "2024-01-02T03:04:05Z"}])
+    rows = store.read_batches(spark, str(tmp_path / "b.json"))
+    bad = store.rejected_rows(rows).collect()
+    assert [(r["index"], r["reason"]) for r in bad] == [(0, "created_at is not a time")]
+    write(tmp_path / "odd.json", {"documents": "none"})
+    with pytest.raises(Exception, match="must be an array in .*odd.json"):
+        store.read_batches(spark, str(tmp_path / "odd.json")).collect()
+
+
+def test_every_writer_keeps_the_others_documents(spark, tmp_path):
+    source, index, checkpoint = (str(tmp_path / n) for n in ("docs", "index", "check"))
+    docs = spark.range(400).selectExpr("id AS doc_id", "'word w' || id AS text")
+
+    def arrive(condition):
+        docs.filter(condition).coalesce(1).write.mode("append").parquet(source)
+        follow_corpus(spark, source, index, checkpoint, docs.schema).awaitTermination()
+
+    index_store.rebuild_index(docs.filter("doc_id < 10"), index)
+    arrive("doc_id BETWEEN 5 AND 99")
+    index_store.extend_index(docs.filter("doc_id < 250"), index)
+    arrive("doc_id BETWEEN 200 AND 399")
+    postings = index_store.read_postings(spark, index)
+    assert same(postings, build_postings(docs))
+    assert index_store.read_stats(spark, index).first()["doc_count"] == 400
+    index_store.reset(spark, index)
+    assert index_store.read_postings(spark, index).count() == 0
+    index_store.extend_index(docs, index)
+    assert same(index_store.read_postings(spark, index), build_postings(docs))
+
+
 def test_streaming_index(spark, random_docs, tmp_path):
     source, index, checkpoint = (str(tmp_path / n) for n in ("docs", "index", "check"))
     schema = random_docs.schema
