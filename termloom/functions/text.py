@@ -13,9 +13,9 @@ from termloom.functions.unicode import ascii_fold, nfc
 
 # The default stopword list.
 DEFAULT_STOPWORDS = (
-    "a an and are as at be but by for from has he in is it its of on or that the to was were "
-    "will with"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "from", "has", "he", "in", "is",
+    "it", "its", "of", "on", "or", "that", "the", "to", "was", "were", "will", "with",
+)
 
 # Characters read as an apostrophe.
 APOSTROPHES = "\u2019\u2018\u02bc"
@@ -24,6 +24,7 @@ LETTER_OR_DIGIT = r"\p{L}\p{N}"
 WORD = rf"[{LETTER_OR_DIGIT}]+"
 # U+02BC is a letter by category but counts as an apostrophe, hence as a separator.
 WORD_WITHOUT_APOSTROPHE = rf"[{LETTER_OR_DIGIT}&&[^\x{{2bc}}]]+"
+# Apostrophes at a word's edge.
 EDGE_APOSTROPHES = rf"(^|[^{LETTER_OR_DIGIT}])'+|'+([^{LETTER_OR_DIGIT}]|$)"
 ASCII_WORD = "[a-z0-9]+"
 

@@ -22,12 +22,15 @@ def latency_summary(
 
     A percentile is the value at rank ``ceil(p/100 * n)``. A sketch, merged from the tasks,
     brackets it; values below the bracket are only counted, and ranks are taken among the few
-    distinct values inside it. So the result is exact and no group is sorted whole.
+    distinct values inside it. So the result is exact and no group is sorted whole. Null and NaN
+    samples do not count.
     """
-    samples = samples.filter(F.col("dur_ms").isNotNull()).select("term", "dur_ms")
+    measured = F.col("dur_ms").isNotNull() & ~F.isnan(F.col("dur_ms").cast("double"))
+    samples = samples.filter(measured).select("term", "dur_ms")
     # Null is a group of its own and must survive the joins below.
-    key = F.struct(F.col("term").isNull(), F.coalesce("term", F.lit("")))
-    samples = samples.withColumn("_key", F.to_json(key))
+    samples = samples.withColumn(
+        "_key", F.coalesce(F.concat(F.lit("="), F.col("term").cast("string")), F.lit(""))
+    )
     bounds = [b for p in percentiles for b in (p / 100 - MARGIN, p / 100 + MARGIN)]
     grid = F.percentile_approx(
         "dur_ms", [min(max(b, 0.0), 1.0) for b in bounds], ACCURACY

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.plans.joins import attach, fits_broadcast
+from termloom.plans.numbering import first_by_id
 
 
 def document_by_id(documents: DataFrame, doc_id, id_column: str = "id") -> DataFrame:
@@ -61,4 +62,4 @@ def by_recency(
 
 def by_id(documents: DataFrame, limit: int, id_column: str = "id") -> DataFrame:
     """The first documents by id."""
-    return documents.orderBy(id_column).limit(limit)
+    return first_by_id(documents, limit, id_column)

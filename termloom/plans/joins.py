@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.plans.staging import stage
+
 # A side is broadcast only when its measured content is below this.
 BROADCAST_BYTES = 64 << 20
 # Bookkeeping per row of a hashed relation, added to the content.
@@ -59,7 +61,8 @@ def attach(
     if fits or fits_broadcast(small, broadcast_bytes):
         return big.join(F.broadcast(small), key, how)
 
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that a computed ``big`` is evaluated once for both uses.
+    counts = stage(big.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     # Fewer than HOT_FRACTION rows by the definition of hot.
     hot = counts.filter(F.col("n") * HOT_FRACTION > total).collect()

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 from termloom import schemas
 
 
+# Splits of a table that may be dealt anew: a few GB at the usual split size.
+SMALL_SPLITS = 32
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Rebalance a plain scan that has fewer splits than the session has cores.
+    """Rebalance a plain scan of few splits that leaves cores of the session idle.
 
-    A large table has far more splits than cores and is returned as it is.
+    Only a table of at most ``SMALL_SPLITS`` splits is ever shuffled; a larger one is returned as
+    it is, whatever the number of cores.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    splits = scan.rdd.getNumPartitions()
+    return scan.repartition(cores) if splits < min(cores, SMALL_SPLITS) else scan
 
 
 def corpus(

@@ -80,6 +80,7 @@ def _blank(text: Column) -> Column:
 
 def reject_reason(batch: DataFrame) -> Column:
     """Why a row cannot be stored, or null; texts are judged trimmed but stored as they are."""
+    # The reasons.
     reason = F.when(_blank(F.col("title")), "title is required").when(
         _blank(F.col("body")), "body is required"
     )

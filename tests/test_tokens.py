@@ -24,6 +24,7 @@ def cut(spark, text, **options):
     return one(spark, text, tokenize(F.col("text"), TokenOptions(**options)))
 
 
+# Inputs and the tokens they must give.
 GOLDEN = [
     ("Hello, world!!", {}, ["hello", "world"]),
     ("State-of-the-art systems", {}, ["state", "of", "the", "art", "systems"]),
