@@ -213,9 +213,9 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
         digests = F.broadcast(digests)
     lines = canonical_lines(text_column()).alias("lines")
     texts = located(docs).select(F.col("doc_id").cast("long"), *ROW, lines)
-    rows = texts.select(
-        "doc_id", *ROW, digest(flat(F.col("lines"))).alias("whole"), F.explode(F.split("lines", "\n")).alias("line")
-    )
+    whole = digest(flat(F.col("lines"))).alias("whole")
+    line = F.explode(F.split("lines", "\n")).alias("line")
+    rows = texts.select("doc_id", *ROW, whole, line)
     rows = rows.select("doc_id", *ROW, "whole", digest(flat(F.col("line"))).alias("digest"))
     found = rows.join(digests.withColumnRenamed("licence_id", "line_id"), "digest", "left")
     grouped = found.groupBy(*ROW).agg(

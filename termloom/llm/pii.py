@@ -266,10 +266,9 @@ def train(docs: DataFrame) -> Field:
                 seen += [("s", labels[i], labels[j]) for i, j in ties(words)]
                 for key in seen:
                     shapes[key] = shapes.get(key, 0) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([" ".join(map(str, k)) for k in shapes], pa.string()), pa.array(list(shapes.values()), pa.int64())],
-            ["key", "n"],
-        )
+        keys = pa.array([" ".join(map(str, key)) for key in shapes], pa.string())
+        counts = pa.array(list(shapes.values()), pa.int64())
+        yield pa.RecordBatch.from_arrays([keys, counts], ["key", "n"])
 
     counted = chosen.select(text_column().alias("text")).mapInArrow(run, "key string, n long")
     # Bounded by the number of different shapes.
@@ -287,7 +286,8 @@ def train(docs: DataFrame) -> Field:
             weights.append(row["n"])
         else:
             pairs[kind][int(values[0]), int(values[1])] += row["n"]
-    unary = _multinomial(np.array(features).reshape(-1, FEATURES), np.array(labels, int), np.array(weights, float))
+    features = np.array(features, float).reshape(-1, FEATURES)
+    unary = _multinomial(features, np.array(labels, int), np.array(weights, float))
     return Field(unary, _lift(pairs["c"]), _lift(pairs["s"]))
 
 
