@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     joined = both.join(least, "a").filter("b > a")
-    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -33,8 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has the long columns ``a`` and ``b``. Self-loops, nulls and repeats are ignored.
     """
-    edges = stage(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    mark = None
+    edges, mark = edges.select("a", "b").filter("a <> b"), None
     while True:
         edges = stage(_small_star(_large_star(edges)), "edges")
         # Equal rows give an equal sum; the sum of all roots strictly falls until the end.

@@ -30,6 +30,7 @@ is the one with the smallest id, then the smallest place. Extra columns play no
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -154,6 +155,12 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return (1 + np.log(max(count, 1) / np.clip(seen, 1, max(count, 1))) / scale).astype(np.float32)
 
 
+@functools.cache
+def sampler() -> Sampler:
+    """One table of draws per worker."""
+    return Sampler()
+
+
 class Sampler:
     """Improved consistent weighted sampling with draws fixed by the seed."""
 
@@ -205,7 +212,7 @@ def signatures(placed: DataFrame, factors) -> DataFrame:
     """
 
     def run(batches):
-        sampler = Sampler()
+        draws = sampler()
         for batch in batches:
             digests, sizes, keys = [], [], []
             for text in batch.column(3).to_pylist():
@@ -215,7 +222,7 @@ def signatures(placed: DataFrame, factors) -> DataFrame:
                 sizes.append(len(found))
                 if len(found):
                     weights = _weights(found, counts, factors.value)
-                    keys.append(band_keys(sampler.draw(found, weights)))
+                    keys.append(band_keys(draws.draw(found, weights)))
                 else:
                     keys.append(np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -353,7 +360,7 @@ def _runs(batches) -> Iterator[list]:
 
 
 def _verify(batches):
-    nodes, roots = [], []
+    nodes, roots, whole = [], [], []
     for run in _runs(batches):
         run.sort(key=lambda row: row["node"])
         vectors = []
@@ -364,11 +371,16 @@ def _verify(batches):
         for i in np.flatnonzero(first != np.arange(len(run))):
             nodes.append(run[i]["node"])
             roots.append(run[first[i]]["node"])
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["a", "b"])
+            whole.append(run[i]["kind"] == 0)
+    columns = [pa.array(nodes, pa.int64()), pa.array(roots, pa.int64()), pa.array(whole, pa.bool_())]
+    yield pa.RecordBatch.from_arrays(columns, ["a", "b", "whole"])
 
 
 def links(placed: DataFrame, nodes: DataFrame, factors) -> DataFrame:
-    """Verified links ``a``, ``b`` that connect the members of every class of nodes."""
+    """Verified links ``a``, ``b`` that connect the members of every class of nodes.
+
+    ``whole`` says that they come from a cluster verified in one task; ``b`` is then the root.
+    """
     groups = groups_of(nodes)
     wanted = groups.groupBy("node").agg(F.collect_list(F.struct("kind", "id", "slot")).alias("groups"))
     wanted = stage(wanted.join(nodes.select("node", "keys", *ROW), "node"), "near-dedup-groups")
@@ -381,7 +393,7 @@ def links(placed: DataFrame, nodes: DataFrame, factors) -> DataFrame:
     )
     rows = vectors.select("node", "keys", "hashes", "weights", F.inline("groups"))
     dealt = rows.repartition("kind", "id", "slot").sortWithinPartitions("kind", "id", "slot")
-    return stage(dealt.mapInArrow(_verify, "a long, b long"), "near-dedup-links")
+    return stage(dealt.mapInArrow(_verify, "a long, b long, whole boolean"), "near-dedup-links")
 
 
 def classify(docs: DataFrame) -> DataFrame:
@@ -404,7 +416,11 @@ def _classify(placed: DataFrame) -> DataFrame:
     )
     nodes = stage(with_dense_ids(distinct, id_column="node"), "near-dedup-nodes")
     flat = nodes.select("node", "keys", "size", *(F.col(f"first.{c}").alias(c) for c in ROW))
-    classes = components(links(placed, flat, factors))
+    found = links(placed, flat, factors)
+    # A cluster verified in one task is final; groups of a larger one meet in their nodes.
+    final = found.filter("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    partial = found.filter("not whole")
+    classes = final if partial.isEmpty() else final.unionByName(components(partial))
     roots = classes.select(F.col("root").alias("node"), "root").distinct()
     rooted = nodes.join(classes.unionByName(roots), "node", "left").withColumn(
         "root", F.coalesce("root", "node")
