@@ -27,6 +27,7 @@ COPYRIGHT_LINE = (
     r"|(?md)^[ \t*#/;-]*all rights reserved\.?[ \t]*$"
 )
 OTHER = r"[^\p{L}\p{N}\n]+"
+BREAK = r" *\n[ \n]*"
 # Spellings taken as equal, after the published matching guidelines.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"),
@@ -174,7 +175,7 @@ the original software.
 
 
 def canonical_lines(text: Column) -> Column:
-    """The canonical form with the text's line breaks; two spaces or more between words."""
+    """The canonical form with the text's line breaks; two spaces between a line's words."""
     kept = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
     spaced = F.replace(F.regexp_replace(kept, OTHER, "  "), F.lit("\n"), F.lit(" \n "))
     out = F.concat(F.lit(" "), spaced, F.lit(" "))
@@ -185,13 +186,19 @@ def canonical_lines(text: Column) -> Column:
 
 
 def flat(lines: Column) -> Column:
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    """The canonical form of the whole text: its words with two spaces between."""
+    return F.trim(F.regexp_replace(lines, BREAK, "  "))
 
 
 def digest(canonical: Column) -> Column:
     return F.when(canonical != "", F.sha2(canonical.cast("binary"), 256))
 
 
+def once(column: Column) -> Column:
+    """A column that later steps may use repeatedly without its being computed again."""
+    return F.explode(F.array(column))
+
+
 def known_licences(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(KNOWN), "licence_id string, text string")
 
@@ -204,19 +211,21 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     if known is None:
         known = known_licences(docs.sparkSession)
     digests = (
-        known.select("licence_id", digest(flat(canonical_lines(text_column()))).alias("digest"))
+        known.select("licence_id", once(canonical_lines(text_column())).alias("lines"))
+        .select("licence_id", digest(flat(F.col("lines"))).alias("digest"))
         .filter("digest is not null")
         .groupBy("digest")
         .agg(F.min("licence_id").alias("licence_id"))
     )
     if fits_broadcast(digests):
         digests = F.broadcast(digests)
-    lines = canonical_lines(text_column()).alias("lines")
+    lines = once(canonical_lines(text_column())).alias("lines")
     texts = located(docs).select(F.col("doc_id").cast("long"), *ROW, lines)
-    whole = digest(flat(F.col("lines"))).alias("whole")
+    whole = once(digest(flat(F.col("lines")))).alias("whole")
+    texts = texts.select("doc_id", *ROW, "lines", whole)
     line = F.explode(F.split("lines", "\n")).alias("line")
-    rows = texts.select("doc_id", *ROW, whole, line)
-    rows = rows.select("doc_id", *ROW, "whole", digest(flat(F.col("line"))).alias("digest"))
+    rows = texts.select("doc_id", *ROW, "whole", line)
+    rows = rows.select("doc_id", *ROW, "whole", digest(F.trim("line")).alias("digest"))
     found = rows.join(digests.withColumnRenamed("licence_id", "line_id"), "digest", "left")
     grouped = found.groupBy(*ROW).agg(
         F.first("doc_id").alias("doc_id"),

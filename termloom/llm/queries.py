@@ -133,7 +133,7 @@ def licence_sql() -> str:
     known = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in licences.KNOWN)
 
     def digest(value: str) -> str:
-        flat = f"trim(regexp_replace({value}, '[ \\n]+', ' ', 'g'))"
+        flat = f"trim(regexp_replace({value}, {quoted(licences.BREAK)}, '  ', 'g'))"
         return f"CASE WHEN {flat} <> '' THEN sha256({flat}) END"
 
     return f"""
