@@ -1,48 +1,63 @@
 """Toxicity by the nearest labelled examples.
 
 ``train`` takes a bounded sample of labelled documents (at most ``TOXIC_EXAMPLES`` and
-``CLEAN_EXAMPLES``, chosen by a hash of the id), picks the terms that tell the labels apart by
-chi-square, counts in how many of *all* documents each of those terms occurs, and indexes the
-examples' TF-IDF vectors. The index is an inverted one whose example ids are cut into blocks of
-``BLOCK``; for each term and block it keeps the largest weight. A query first bounds every
-block's cosine by those maxima, scores the most promising blocks, and then only those blocks
-whose bound reaches the k-th best cosine found. Blocks left out cannot hold a nearer example, so
-the nearest ``NEIGHBOURS`` are exact.
+``CLEAN_EXAMPLES``, chosen by a hash of the id), counts in how many of *all* documents every word
+occurs, and indexes the examples' TF-IDF vectors over all of their words. Words are 64-bit hashes.
+The index is an inverted one whose example ids are cut into blocks of ``BLOCK``; for each word and
+block it keeps the largest weight. The words that most examples hold are a dense matrix instead,
+multiplied for many queries at once. A query bounds every block's cosine by the block's largest
+dense part plus those maxima, scores the most promising blocks, and then only those whose bound
+reaches the k-th best cosine found. Blocks left out cannot hold a nearer example, so the nearest
+``NEIGHBOURS`` are exact.
+
+A document's vector has all of its words, weighted by TF-IDF. No word is left out; one that tells the
+labels apart, by a chi-square over ``LIKELY_CHI2`` among the examples, weighs more by the root of
+their ratio, or else ordinary words would outvote the few that matter. Words that no example holds change only its length:
+those in more than one of ``COMMON`` documents are sent along with the index, the others are joined
+with the document frequencies and summed per row.
 
 The nearest examples vote with their cosine as weight; the vote is shrunk to the labels' share
 where they are far, and mapped to a probability by a logistic curve fitted on the examples'
-leave-one-out votes. Scoring is one pass over the documents in Arrow batches, without a shuffle;
-the index sent to the tasks is bounded by the parameters above.
-
-Nulls: a null text is empty. A document without any indexed term gets the share of toxic labels
-among the examples without one. Labels with a null id or null ``toxic`` are ignored; a document
-labelled twice counts as toxic if any label says so. Without examples of both labels the score is
-the labels' share (0 if there are none). Repeated rows are scored alike.
+leave-one-out votes. The search is one pass over the documents in Arrow batches; the index sent to
+the tasks is bounded by the sample's words.
+
+Nulls: a null text is empty. A document that shares no word with an example gets the share of
+toxic labels among the examples without words. Labels with a null id or null ``toxic`` are ignored;
+a document labelled twice counts as toxic if any label says so, and of several texts with a
+labelled id one is the example. Without examples of both labels the score is the labels' share (0
+if there are none). Repeated rows are scored alike.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import text_column, words
+from termloom.llm.common import ROW, Memo, located, text_column, without, words
+from termloom.plans.staging import stage
 
 TOXIC_EXAMPLES = 4096
 CLEAN_EXAMPLES = 8192
-TERMS = 4096
+# Words in more than one of so many documents are sent to the tasks even if no example holds them.
+COMMON = 1000
 # Chi-square with one degree of freedom at p = 0.00001.
-LEAST_CHI2 = 19.5
+LIKELY_CHI2 = 19.5
 BLOCK = 64
+# Words held as a dense matrix at most, and queries multiplied with it at a time.
+DENSE = 512
+CHUNK = 64
 NEIGHBOURS = 15
 # Blocks scored before bounds are compared.
 FIRST_BLOCKS = 4
 THRESHOLD = 0.7
+# Words whose documents one task counts before it hands them on.
+HELD = 1 << 22
 # Weight of the labels' share in a vote.
 SHRINK = 0.5
 
@@ -70,41 +85,81 @@ class BlockMaxIndex:
     """Cosine search over unit vectors given as (example, term, weight) triples."""
 
     def __init__(self, examples: int, terms: int, rows, columns, weights):
-        self.blocks = max(1, -(-examples // BLOCK))
+        self.examples, self.blocks = examples, max(1, -(-examples // BLOCK))
+        rows, columns = np.asarray(rows, np.int32), np.asarray(columns, np.int32)
+        weights = np.asarray(weights, np.float32)
+        held = np.bincount(columns, minlength=terms)
+        most = np.argsort(-held, kind="stable")[:DENSE]
+        most = most[held[most] * BLOCK > examples]
+        # A term's row in the dense matrix, or -1.
+        self.slot = np.full(terms, -1, np.int32)
+        self.slot[most] = np.arange(len(most))
+        self.dense = np.zeros((len(most), examples))
+        slots = self.slot[columns]
+        np.add.at(self.dense, (slots[slots >= 0], rows[slots >= 0]), weights[slots >= 0])
+        rows, columns, weights = (x[slots < 0] for x in (rows, columns, weights))
         order = np.lexsort((rows, columns))
-        self.rows = np.asarray(rows, np.int32)[order]
-        self.weights = np.asarray(weights, np.float32)[order]
-        columns = np.asarray(columns, np.int64)[order]
-        cell = columns * self.blocks + self.rows // BLOCK
-        self.starts = np.searchsorted(cell, np.arange(terms * self.blocks + 1)).astype(np.int32)
-        highest = np.zeros(terms * self.blocks, np.float32)
-        np.maximum.at(highest, cell, self.weights)
-        self.highest = highest.reshape(terms, self.blocks)
-        self.examples = examples
-
-    def _score(self, terms, weights, blocks) -> np.ndarray:
-        cells = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
-        lengths = (self.starts[cells + 1] - self.starts[cells]).astype(np.int64)
-        at = _ranges(self.starts[cells].astype(np.int64), lengths)
-        each = np.repeat(np.repeat(weights, len(blocks)), lengths)
-        return np.bincount(self.rows[at], self.weights[at] * each, minlength=self.examples)
-
-    def nearest(self, terms, weights, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of the ``k`` largest positive cosines, ties by example; and the cosines."""
-        bound = weights @ self.highest[terms]
+        self.rows, self.weights = rows[order].astype(np.int32), weights[order]
+        cell = columns[order].astype(np.int64) * self.blocks + self.rows // BLOCK
+        # Only the cells that have postings: their first posting, block and largest weight.
+        cells, starts = np.unique(cell, return_index=True)
+        self.starts = np.append(starts, len(cell)).astype(np.int64)
+        self.block = (cells % self.blocks).astype(np.int32)
+        self.highest = np.maximum.reduceat(self.weights, starts) if len(starts) else self.weights
+        self.first_cell = np.searchsorted(cells, np.arange(terms + 1) * self.blocks)
+
+    def dense_parts(self, queries) -> np.ndarray:
+        """The part of each query's cosines that comes from the dense terms."""
+        matrix = np.zeros((len(queries), len(self.dense)))
+        for i, (terms, weights) in enumerate(queries):
+            slots = self.slot[terms]
+            matrix[i, slots[slots >= 0]] = weights[slots >= 0]
+        return matrix @ self.dense
+
+    def nearest(
+        self, terms, weights, k: int, skip: int = -1, base: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the ``k`` largest positive cosines, ties by example; and the cosines.
+
+        ``base`` is the query's row of ``dense_parts``.
+        """
+        if base is None:
+            base = self.dense_parts([(terms, weights)])[0]
+        bound = np.zeros(self.blocks * BLOCK)
+        bound[: self.examples] = base
+        bound = bound.reshape(self.blocks, BLOCK).max(axis=1)
+        rare = self.slot[terms] < 0
+        terms, weights = terms[rare], weights[rare]
+        lengths = self.first_cell[terms + 1] - self.first_cell[terms]
+        cells, each = _ranges(self.first_cell[terms], lengths), np.repeat(weights, lengths)
+        block = self.block[cells]
+        bound = bound + np.bincount(block, self.highest[cells] * each, minlength=self.blocks)
+        scores = np.zeros(self.examples)
+
+        def add(chosen):
+            wanted = np.zeros(self.blocks, bool)
+            wanted[chosen] = True
+            at, factor = cells[wanted[block]], each[wanted[block]]
+            held = self.starts[at + 1] - self.starts[at]
+            postings = _ranges(self.starts[at], held)
+            found = np.bincount(
+                self.rows[postings],
+                self.weights[postings] * np.repeat(factor, held),
+                minlength=self.examples,
+            )
+            inside = np.repeat(wanted, BLOCK)[: self.examples]
+            scores[inside] = base[inside] + found[inside]
+            if skip >= 0:
+                scores[skip] = 0
+
         order = np.argsort(-bound, kind="stable")
-        first = order[:FIRST_BLOCKS]
-        scores = self._score(terms, weights, first)
-        if skip >= 0:
-            scores[skip] = 0
+        add(order[:FIRST_BLOCKS])
         found = np.flatnonzero(scores > 0)
         kth = np.partition(scores[found], -k)[-k] if len(found) >= k else 0.0
         rest = order[FIRST_BLOCKS:]
         rest = rest[(bound[rest] >= kth - 1e-6) & (bound[rest] > 0)]
         if len(rest):
-            scores = scores + self._score(terms, weights, rest)
-            if skip >= 0:
-                scores[skip] = 0
+            add(rest)
             found = np.flatnonzero(scores > 0)
         near = scores[found].round(6)
         if len(found) > k:
@@ -114,49 +169,63 @@ class BlockMaxIndex:
         return found[order], np.minimum(near[order], 1.0)
 
 
+_word_hash = Memo(xxhash.xxh3_64_intdigest)
+
+
+def _counted_words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a text's words, ascending, and how often each occurs."""
+    found = words(text)
+    hashes = np.fromiter(map(_word_hash.__getitem__, found), np.uint64, len(found))
+    return np.unique(hashes.view(np.int64), return_counts=True)
+
+
 @dataclass
 class Model:
-    terms: dict[str, int]
-    idf: np.ndarray
+    terms: np.ndarray  # ascending hashes
+    idf: np.ndarray  # for words that tell labels apart, raised
     index: BlockMaxIndex | None
     ids: np.ndarray
     toxic: np.ndarray
     share: float
     empty: float
+    # Number of documents, and the document frequencies of all words.
+    count: int = 0
+    frequencies: DataFrame | None = None
     slope: float = 1.0
     offset: float = 0.0
 
-    def vector(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        known = self.terms
-        counts = Counter(filter(known.__contains__, found))
-        if not counts:
-            return np.empty(0, np.int64), np.empty(0)
-        at = np.fromiter((known[t] for t in counts), np.int64, len(counts))
-        tf = np.fromiter(counts.values(), float, len(counts))
-        weights = (1 + np.log(tf)) * self.idf[at]
-        return at, weights / np.sqrt((weights**2).sum())
-
-    def vote(self, terms, weights, skip: int = -1):
-        """The raw vote with its examples and cosines; None without a neighbour."""
-        if self.index is None or not len(terms):
-            return None
-        near, cosines = self.index.nearest(terms, weights, NEIGHBOURS, skip)
-        if not len(near):
-            return None
-        raw = (cosines @ self.toxic[near] + SHRINK * self.share) / (cosines.sum() + SHRINK)
-        return raw, near, cosines
+    def vector(self, hashes: np.ndarray, counts: np.ndarray):
+        """Terms and unit weights of the given words, their length, and which words are given."""
+        at = np.searchsorted(self.terms, hashes)
+        at[at == len(self.terms)] = 0
+        given = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
+        at = at[given]
+        weights = (1 + np.log(counts[given])) * self.idf[at]
+        length = np.sqrt((weights**2).sum())
+        return at, weights / max(length, 1e-12), length, given
+
+    def raw(self, near, cosines) -> float:
+        return (cosines @ self.toxic[near] + SHRINK * self.share) / (cosines.sum() + SHRINK)
 
     def probability(self, raw) -> np.ndarray:
         raw = np.clip(raw, 1e-4, 1 - 1e-4)
         line = self.slope * np.log(raw / (1 - raw)) + self.offset
         return 1 / (1 + np.exp(-np.clip(line, -30, 30)))
 
-    def score(self, text: str | None):
-        """The probability, and the examples with their cosines."""
-        voted = self.vote(*self.vector(words(text)))
-        if voted is None:
-            return self.empty, _NONE, _NONE
-        return float(self.probability(voted[0])), voted[1], voted[2]
+    def search(self, texts: list[str]):
+        """Per text: neighbours, cosines and length by the given words; the other words' hashes and
+        weights without their idf."""
+        for at in range(0, len(texts), CHUNK):
+            counted = [_counted_words(text) for text in texts[at : at + CHUNK]]
+            vectors = [self.vector(*c) for c in counted]
+            if self.index is not None:
+                bases = self.index.dense_parts([v[:2] for v in vectors])
+            for i, ((hashes, counts), (terms, weights, length, given)) in enumerate(zip(counted, vectors)):
+                near = cosines = _NONE
+                if self.index is not None and len(terms):
+                    near, cosines = self.index.nearest(terms, weights, NEIGHBOURS, -1, bases[i])
+                others = ~given if len(near) else np.zeros(len(given), bool)
+                yield near, cosines, length, hashes[others], 1 + np.log(counts[others])
 
 
 _NONE = np.empty(0, np.int64)
@@ -196,49 +265,61 @@ def _class_sizes(rows: DataFrame) -> dict[int, int]:
 
 def _example_terms(batches):
     for batch in batches:
-        ids, toxic, terms, counts, lengths = [], [], [], [], []
-        for doc_id, label, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            found = Counter(words(text))
-            found[""] += 1  # keeps documents without words
-            lengths.append(len(found))
-            ids.append(doc_id)
-            toxic.append(label)
-            terms.extend(found)
-            counts.extend(found.values())
+        found = [_counted_words(text) for text in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.repeat(np.array(ids, np.int64), lengths)),
-                pa.array(np.repeat(np.array(toxic, np.int32), lengths)),
-                pa.array(terms, pa.string()),
-                pa.array(counts, pa.int32()),
+                batch.column(0),
+                batch.column(1),
+                pa.array([hashes.tobytes() for hashes, _ in found], pa.binary()),
+                pa.array([counts.astype(np.int32).tobytes() for _, counts in found], pa.binary()),
             ],
-            ["doc_id", "toxic", "term", "tf"],
+            ["doc_id", "toxic", "terms", "counts"],
         )
 
 
-def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each given term occurs, and the number of documents."""
-    size = len(terms)
+def _frequency_batches(batches):
+    waiting, held, count = [], 0, 0
+
+    def settled():
+        terms, n = np.unique(np.concatenate(waiting), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "n"])
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            count += 1
+            waiting.append(_counted_words(text)[0])
+            held += len(waiting[-1])
+            if held > HELD:
+                yield settled()
+                waiting, held = [], 0
+    if held:
+        yield settled()
+    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([count])], ["term", "n"])
+
+
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """``term``, ``n``: in how many of all documents each word occurs; null has their number."""
+    parts = docs.select(text_column().alias("text")).mapInArrow(_frequency_batches, "term long, n long")
+    return stage(parts.groupBy("term").agg(F.sum("n").alias("n")), "toxicity-frequencies")
+
+
+def _sent(frequencies: DataFrame, examples: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of the examples or of more than one in ``COMMON`` documents, and their frequencies."""
+    shared = frequencies.sparkSession.sparkContext.broadcast(examples)
 
     def run(batches):
-        total = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total[size] += 1
-                found = terms.keys() & set(words(text))
-                if found:
-                    total[[terms[t] for t in found]] += 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(total[at])], ["term", "n"]
-        )
+            terms = batch.column(0).to_numpy()
+            at = np.minimum(np.searchsorted(shared.value, terms), len(shared.value) - 1)
+            held = shared.value[at] == terms if len(shared.value) else np.zeros(len(terms), bool)
+            yield batch.filter(pa.array(held | (batch.column(1).to_numpy() * COMMON > count)))
 
-    counted = docs.select(text_column().alias("text")).mapInArrow(run, "term int, n long")
-    out = np.zeros(size + 1)
-    # At most one row per given term.
-    for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[row["term"]] = row["n"]
-    return out[:size], int(out[size])
+    kept = frequencies.filter("term is not null").mapInArrow(run, "term long, n long")
+    # Bounded by the sample's words and COMMON times the mean number of words of a document.
+    table = kept.toArrow()
+    terms, n = (table.column(i).to_numpy() for i in range(2))
+    order = np.argsort(terms)
+    return terms[order], n[order]
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -251,104 +332,161 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     )
     sizes = _class_sizes(labels)
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    none = Model({}, np.empty(0), None, _NONE, _NONE, share, share)
+    none = Model(_NONE, np.empty(0), None, _NONE, _NONE, share, share)
     if len(sizes) < 2:
         return none
     sample = _sample(labels, 1, sizes[1], TOXIC_EXAMPLES).unionByName(
         _sample(labels, 0, sizes[0], CLEAN_EXAMPLES)
     )
-    # Bounded by the two limits.
     examples = docs.select(F.col("doc_id").cast("long"), text_column().alias("text")).join(
         F.broadcast(sample), "doc_id"
     )
     rows = examples.select("doc_id", "toxic", "text").mapInArrow(
-        _example_terms, "doc_id long, toxic int, term string, tf int"
+        _example_terms, "doc_id long, toxic int, terms binary, counts binary"
     )
-    rows = rows.persist()
-    try:
-        of = _class_sizes(rows.filter("term = ''"))
-        n1, n0 = float(of.get(1, 0)), float(of.get(0, 0))
-        if not n1 or not n0:
-            return none
-        a, b = F.sum("toxic").cast("double"), F.sum(F.lit(1) - F.col("toxic")).cast("double")
-        seen = F.col("a") + F.col("b")
-        difference = F.col("a") * n0 - F.col("b") * n1
-        chi2 = difference * difference * (n0 + n1) / (n1 * n0 * seen * ((n0 + n1) - seen))
-        best = (
-            rows.filter("term <> ''")
-            .groupBy("term")
-            .agg(a.alias("a"), b.alias("b"))
-            .filter(seen < n0 + n1)
-            .withColumn("chi2", chi2)
-            .filter(F.col("chi2") >= LEAST_CHI2)
-            .orderBy(F.desc("chi2"), "term")
-            .limit(TERMS)
-        )
-        terms = {r["term"]: i for i, r in enumerate(best.select("term").collect())}
-        chosen = rows.sparkSession.createDataFrame([(t,) for t in [*terms, ""]], "term string")
-        # At most the examples times the chosen terms.
-        triples = rows.join(F.broadcast(chosen), "term", "left_semi").toPandas()
-    finally:
-        rows.unpersist()
-    df, count = document_frequencies(docs, terms)
-    return _fit(triples, terms, df, count, share, sizes)
-
-
-def _fit(triples, terms, df, count, share, sizes) -> Model:
-    idf = np.log((1 + count) / (1 + df)) + 1
-    known = triples[triples.term != ""].sort_values(["doc_id", "term"], kind="stable")
-    everyone = triples[triples.term == ""].drop_duplicates("doc_id").set_index("doc_id").toxic
-    with_terms = everyone[everyone.index.isin(known.doc_id)]
-    silent = everyone[~everyone.index.isin(known.doc_id)]
-    weight = {k: sizes.get(k, 0) / max(1, int((everyone == k).sum())) for k in (0, 1)}
+    one = F.min(F.struct("toxic", "terms", "counts")).alias("one")
+    # At most one row for each id of the sample.
+    known = rows.groupBy("doc_id").agg(one).select("doc_id", "one.*").orderBy("doc_id").toArrow()
+    toxic = known.column("toxic").to_numpy().astype(np.int64)
+    if not toxic.any() or toxic.all():
+        return none
+    ids = known.column("doc_id").to_numpy()
+    hashes, ends = _flat(known.column("terms"), np.int64)
+    counts, _ = _flat(known.column("counts"), np.int32)
+    del known
+    frequencies = document_frequencies(docs)
+    count = frequencies.filter("term is null").first()["n"]
+    terms, df = _sent(frequencies, np.unique(hashes), count)
+    # Every word of an example is among the terms.
+    columns = np.searchsorted(terms, hashes).astype(np.int32)
+    del hashes
+    lengths = np.diff(ends, prepend=0)
+    idf = _idf(df, count) * _telling(len(terms), toxic, columns, lengths)
+    model = replace(none, terms=terms, idf=idf, count=count, frequencies=frequencies)
+    return _fit(model, ids, toxic, columns, counts, lengths, sizes)
+
+
+def _flat(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in the rows of a binary column, and where each row's end."""
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in column]
+    return np.concatenate(parts), np.cumsum([len(x) for x in parts])
+
+
+def _idf(df, count):
+    return np.log((1 + count) / (1 + df)) + 1
+
+
+def _telling(size: int, toxic, columns, lengths) -> np.ndarray:
+    """The factor, at least 1, by which each term's weight is raised."""
+    is_toxic = np.repeat(toxic > 0, lengths)
+    a, b = (np.bincount(columns[is_toxic == label], minlength=size).astype(float) for label in (True, False))
+    n1, n0 = float(toxic.sum()), float((1 - toxic).sum())
+    seen = a + b
+    chance = n1 * n0 * seen * (n1 + n0 - seen)
+    chi2 = (a * n0 - b * n1) ** 2 * (n0 + n1) / np.maximum(chance, 1)
+    return np.sqrt(np.maximum(1, chi2 / LIKELY_CHI2))
+
+
+def _fit(model: Model, ids, toxic, columns, counts, lengths, sizes) -> Model:
+    """``columns`` and ``counts`` are the terms of all examples, ``lengths`` how many each has."""
+    weight = {k: sizes.get(k, 0) / max(1, int((toxic == k).sum())) for k in (0, 1)}
+    silent = toxic[lengths == 0]
     toxic_silent = weight[1] * float((silent == 1).sum())
-    empty = (toxic_silent + share) / (toxic_silent + weight[0] * float((silent == 0).sum()) + 1)
+    clean_silent = weight[0] * float((silent == 0).sum())
+    model.empty = (toxic_silent + model.share) / (toxic_silent + clean_silent + 1)
+    with_terms = np.flatnonzero(lengths)
     if not len(with_terms):
-        return Model(terms, idf, None, _NONE, _NONE, share, empty)
-    column = known.term.map(terms).to_numpy(np.int64)
-    raw = (1 + np.log(known.tf.to_numpy(float))) * idf[column]
-    # Examples that share their heaviest term come next to each other, which tightens blocks.
-    frame = known.assign(column=column, raw=raw)
-    heaviest = frame.sort_values(["doc_id", "raw", "column"]).drop_duplicates("doc_id", keep="last")
-    order = heaviest.sort_values(["column", "doc_id"]).doc_id.to_numpy()
-    place = {d: i for i, d in enumerate(order)}
-    at = frame.doc_id.map(place).to_numpy(np.int64)
-    norm = np.sqrt(np.bincount(at, raw**2, minlength=len(order)))
-    weights = raw / norm[at]
-    index = BlockMaxIndex(len(order), len(terms), at, column, weights)
-    toxic = with_terms.loc[order].to_numpy(float)
-    model = Model(terms, idf, index, order.astype(np.int64), toxic, share, empty)
-    by = np.argsort(at, kind="stable")
-    bounds = np.searchsorted(at[by], np.arange(len(order) + 1))
-    votes = np.full(len(order), share)
-    for e in range(len(order)):
-        own = by[bounds[e] : bounds[e + 1]]
-        voted = model.vote(column[own], weights[own], skip=e)
-        if voted is not None:
-            votes[e] = voted[0]
+        return model
+    weights = ((1 + np.log(counts)) * model.idf[columns]).astype(np.float32)
+    starts = np.cumsum(lengths) - lengths
+    held = np.bincount(columns, minlength=len(model.terms))
+    # Examples that share their heaviest repeated term come next to each other, which tightens
+    # blocks.
+    heaviest = []
+    for e in with_terms:
+        own = slice(starts[e], starts[e] + lengths[e])
+        heaviest.append(int(columns[own][np.argmax(np.where(held[columns[own]] > 1, weights[own], 0))]))
+        weights[own] /= np.sqrt((weights[own].astype(float) ** 2).sum())
+    order = with_terms[np.lexsort((ids[with_terms], heaviest))]
+    at = _ranges(starts[order], lengths[order])
+    columns, weights = columns[at], weights[at]
+    del at
+    lengths = lengths[order]
+    ends = np.cumsum(lengths)
+    rows = np.repeat(np.arange(len(order), dtype=np.int32), lengths)
+    model.index = BlockMaxIndex(len(order), len(model.terms), rows, columns, weights)
+    del rows
+    model.ids, model.toxic = ids[order], toxic[order].astype(float)
+    votes = np.full(len(order), model.share)
+    for at in range(0, len(order), CHUNK):
+        own = [slice(end - n, end) for end, n in zip(ends[at : at + CHUNK], lengths[at : at + CHUNK])]
+        vectors = [(columns[o], weights[o]) for o in own]
+        for e, base in enumerate(model.index.dense_parts(vectors), at):
+            near, cosines = model.index.nearest(*vectors[e - at], NEIGHBOURS, e, base)
+            if len(near):
+                votes[e] = model.raw(near, cosines)
     model.slope, model.offset = _logistic(
-        votes, toxic, np.where(toxic > 0, weight[1], weight[0])
+        votes, model.toxic, np.where(model.toxic > 0, weight[1], weight[0])
     )
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``score``, ``predicted`` and ``evidence`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType(
-        [
-            T.StructField("doc_id", T.LongType()),
-            T.StructField("score", T.DoubleType()),
-            T.StructField("evidence", EVIDENCE),
-        ]
-    )
+_FOUND = (
+    f"doc_id long, {ROW[0]} long, {ROW[1]} long, near array<int>, cosines array<double>, "
+    "length double, others array<long>, other_weights array<double>"
+)
 
-    def run(batches):
+
+def _lists(arrays, kind) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([_NONE, *arrays]), kind))
+
+
+def _votes(placed: DataFrame, model: Model) -> DataFrame:
+    """``doc_id``, place, ``score`` and ``evidence`` of every row."""
+    sent = replace(model, frequencies=None)
+    shared = placed.sparkSession.sparkContext.broadcast(sent)
+
+    def search(batches):
         model = shared.value
         for batch in batches:
             if not len(batch):
                 continue
-            scores, near, cosines = zip(*map(model.score, batch.column(1).to_pylist()))
+            near, cosines, lengths, others, weights = zip(*model.search(batch.column(3).to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(i) for i in range(3)),
+                    _lists([n.astype(np.int32) for n in near], pa.int32()),
+                    _lists(cosines, pa.float64()),
+                    pa.array(lengths, pa.float64()),
+                    _lists(others, pa.int64()),
+                    _lists(weights, pa.float64()),
+                ],
+                ["doc_id", *ROW, "near", "cosines", "length", "others", "other_weights"],
+            )
+
+    rows = placed.select(F.col("doc_id").cast("long"), *ROW, text_column().alias("text"))
+    found = rows.mapInArrow(search, _FOUND)
+    if model.frequencies is None:
+        found = found.withColumn("rest", F.lit(0.0))
+    else:
+        found = stage(found, "toxicity-found")
+        other = F.inline(F.arrays_zip(F.col("others").alias("term"), F.col("other_weights").alias("weight")))
+        # None of these words is in more than one of COMMON documents that the model has seen.
+        met = found.select(*ROW, other).join(model.frequencies, "term", "left")
+        idf = F.log((1 + F.lit(model.count)) / (1 + F.coalesce("n", F.lit(0)))) + 1
+        rest = met.groupBy(*ROW).agg(F.sum(F.pow(F.col("weight") * idf, 2)).alias("rest"))
+        found = found.join(rest, list(ROW), "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
+
+    def vote(batches):
+        model = shared.value
+        for batch in batches:
+            near, cosines, scores = [], [], []
+            for n, c, length, rest in zip(*(batch.column(i).to_pylist() for i in range(3, 7))):
+                near.append(np.array(n, np.int64))
+                scale = length / np.sqrt(length**2 + rest) if n else 1.0
+                cosines.append((np.array(c, float) * scale).round(6))
+                scores.append(float(model.probability(model.raw(near[-1], cosines[-1]))) if n else model.empty)
             at = np.concatenate([_NONE, *near])
             evidence = pa.StructArray.from_arrays(
                 [
@@ -361,29 +499,26 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             ends = np.cumsum([0, *map(len, near)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *(batch.column(i) for i in range(3)),
                     pa.array(scores, pa.float64()),
                     pa.ListArray.from_arrays(pa.array(ends), evidence),
                 ],
-                ["doc_id", "score", "evidence"],
+                ["doc_id", *ROW, "score", "evidence"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
-    scored = rows.mapInArrow(run, schema)
-    return scored.select(
-        "doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence"
-    )
+    schema = [T.StructField(c, T.LongType()) for c in ("doc_id", *ROW)]
+    schema += [T.StructField("score", T.DoubleType()), T.StructField("evidence", EVIDENCE)]
+    columns = ("doc_id", *ROW, "near", "cosines", "length", "rest")
+    return found.select(*columns).mapInArrow(vote, T.StructType(schema))
 
 
-def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, that score below the threshold."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id``, ``score``, ``predicted`` and ``evidence`` of every row."""
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return _votes(located(docs), model).select("doc_id", "score", predicted, "evidence")
 
-    def run(batches):
-        model = shared.value
-        for batch in batches:
-            clean = [model.score(t)[0] < THRESHOLD for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that score below the threshold."""
+    placed = located(docs)
+    return without(placed, _votes(placed, model).filter(F.col("score") >= THRESHOLD))

@@ -437,6 +437,27 @@ def test_toxicity_learns_and_gives_evidence(spark):
     assert kept.columns == ["doc_id", "text", "score"] and kept.count() == 480
 
 
+def test_toxicity_cosines_are_over_all_words(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", 4)
+    rng = random.Random(21)
+    vocab = vocabulary(rng, 300)
+    texts = [" ".join(rng.choices(vocab, k=rng.randint(5, 40)) + [f"only{i}"]) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(60)], "doc_id long, toxic boolean")
+    df = Counter(w for t in texts for w in set(t.split()))
+
+    def vector(text):
+        raw = {w: (1 + np.log(n)) * (np.log(121 / (1 + df[w])) + 1) for w, n in Counter(text.split()).items()}
+        return {w: x / np.sqrt(sum(y * y for y in raw.values())) for w, x in raw.items()}
+
+    vectors = [vector(t) for t in texts]
+    for row in toxicity.score(docs, toxicity.train(docs, labels)).collect():
+        own = vectors[row.doc_id]
+        dots = sorted((sum(x * v.get(w, 0) for w, x in own.items()) for v in vectors[:60]), reverse=True)
+        dots = [d for d in dots[: toxicity.NEIGHBOURS] if d > 0]
+        assert np.allclose([e["cosine"] for e in row.evidence], dots, atol=3e-6)
+
+
 def test_toxicity_odd_rows(spark, odd, none, texts):
     docs, labels = toxic_tables(spark)
     model = toxicity.train(docs, labels)
