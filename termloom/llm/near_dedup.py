@@ -13,11 +13,10 @@
    nodes and ``GROUP_SHINGLES`` shingles is verified in one task: pairs that share a band are
    compared by exact weighted Jaccard similarity, most shared bands first, unless they are
    connected already.
-4. A larger cluster is verified by its bands instead: every band value is a group; a band value
-   too large is replaced by the pairs of such values of its nodes, and a pair of values that is
-   still too large is dealt over slots which share ``PIVOTS`` of its nodes. Groups then meet in
-   their common nodes. Only in the last case can a link be missed: that of two nodes in different
-   slots which share at least two bands, both with too many nodes, and no smaller group.
+4. A larger cluster is verified by its bands instead: every band value is a group. The nodes of a
+   band value too large are dealt over slots, and every pair of slots is a group, so all its
+   nodes meet. Groups then meet in their common nodes. No candidate is left out; the price is
+   that the work on such a band value grows with the square of its nodes.
 
 Groups are classes of the verified links, over all documents. All steps write their small tables
 to the shared folder. Whole texts move only for clusters' nodes.
@@ -60,7 +59,6 @@ MERGE = 64
 DRAWS = 1 << 16
 GROUP_NODES = 1000
 GROUP_SHINGLES = 8_000_000
-PIVOTS = 32
 # Shingles sampled at once, which bounds memory on very long texts.
 CHUNK = 1 << 14
 
@@ -261,35 +259,28 @@ def groups_of(nodes: DataFrame) -> DataFrame:
     roots = clusters.select(F.col("root").alias("node"), "root").distinct()
     member = clusters.unionByName(roots).join(nodes.select("node", "size"), "node")
     sized = stage(_counted(member, "root"), "near-dedup-clusters")
-    none = F.lit(0).alias("slot")
+    none = F.lit(0).cast("long").alias("slot")
     small = sized.filter(_fits()).select("node", F.lit(0).alias("kind"), F.col("root").alias("id"), none)
     large = sized.filter(~_fits()).select("node")
     if large.isEmpty():
         return small
     bands = shared.join(large, "node", "left_semi")
     by_band = bands.filter(_fits()).select("node", F.lit(1).alias("kind"), F.col("key").alias("id"), none)
-    hot = bands.filter(~_fits()).groupBy("node", "size").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    pair = F.expr(
-        "flatten(transform(keys, (x, i) -> transform(slice(keys, i + 1, size(keys)), "
-        "y -> xxhash64(x, y))))"
-    )
-    pairs = _counted(hot.select("node", "size", F.explode(pair).alias("key")), "key")
-    by_pair = pairs.filter(_fits()).select("node", F.lit(2).alias("kind"), F.col("key").alias("id"), none)
+    hot = bands.filter(~_fits())
+    # Any two nodes of a hot band value meet in the group of their slots' pair.
     slots = F.greatest(
         F.ceil(2 * F.col("n") / GROUP_NODES), F.ceil(2 * F.col("weight") / GROUP_SHINGLES)
     ).cast("int")
-    draw = F.pmod(F.xxhash64("node", "key"), F.col("n"))
-    in_slots = pairs.filter(~_fits()).select(
-        "node",
-        F.lit(3).alias("kind"),
-        F.col("key").alias("id"),
-        F.explode(
-            F.when(draw < PIVOTS, F.sequence(F.lit(0), slots - 1)).otherwise(
-                F.array(F.pmod(F.xxhash64("node"), slots).cast("int"))
-            )
-        ).alias("slot"),
+    own = F.pmod(F.xxhash64("node", "key"), slots).cast("int")
+    dealt = hot.select("node", "key", own.alias("own"), slots.alias("slots"))
+    pair = F.expr(
+        "transform(sequence(0, slots - 1), "
+        "x -> cast(least(own, x) as bigint) * slots + greatest(own, x))"
+    )
+    in_slots = dealt.select(
+        "node", F.lit(3).alias("kind"), F.col("key").alias("id"), F.explode(pair).alias("slot")
     )
-    return small.unionByName(by_band).unionByName(by_pair).unionByName(in_slots)
+    return small.unionByName(by_band).unionByName(in_slots)
 
 
 def similarity(a, b) -> float:
@@ -388,7 +379,7 @@ def links(placed: DataFrame, nodes: DataFrame, factors) -> DataFrame:
     texts = placed.select(*ROW, text_column().alias("text")).join(sent, list(ROW))
     vectors = texts.select("node", "keys", "text", "groups").mapInArrow(
         _vector_batches(factors),
-        "node long, keys array<long>, groups array<struct<kind: int, id: long, slot: int>>, "
+        "node long, keys array<long>, groups array<struct<kind: int, id: long, slot: long>>, "
         "hashes binary, weights binary",
     )
     rows = vectors.select("node", "keys", "hashes", "weights", F.inline("groups"))

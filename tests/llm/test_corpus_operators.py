@@ -532,6 +532,19 @@ def test_near_dedup_large_clusters_meet_in_smaller_groups(spark, monkeypatch):
         assert equal >= 0.97 * len(want)
 
 
+def test_near_dedup_hot_band_values_compare_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "GROUP_NODES", 6)
+    # All nodes share one band value and no other: all pairs must meet, each in one group at least.
+    rows = [(i, 10, [7, 100 + i]) for i in range(60)]
+    nodes = spark.createDataFrame(rows, "node long, size long, keys array<long>")
+    groups = near_dedup.groups_of(nodes)
+    held = {}
+    for row in groups.collect():
+        held.setdefault((row.kind, row.id, row.slot), set()).add(row.node)
+    met = {(a, b) for group in held.values() for a in group for b in group if a < b}
+    assert met == {(a, b) for a in range(60) for b in range(a + 1, 60)}
+
+
 def test_samples_agree_as_often_as_weights_do():
     rng = np.random.default_rng(2)
     sampler = near_dedup.Sampler(seed=3, samples=600)
