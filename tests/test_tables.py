@@ -300,6 +300,16 @@ def test_generator_and_determinism(spark):
         generator.generate_range(spark, 0)
 
 
+def test_index_checks_query_sees_every_document(spark, tmp_path):
+    from termloom import catalog
+
+    # Only the last document, beyond id 500, holds the term.
+    rows = [(i, f"the text of {i}") for i in range(1, 700)] + [(700, "nosuchterm")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["rule"]: r["violations"] for r in catalog.index_checks(spark, str(tmp_path)).collect()}
+    assert found["expected_term:nosuchterm"] == 0 and found["doc_count"] == 1
+
+
 def test_index_checks(spark):
     docs = generator.generate_range(spark, 25, "smoke").select(
         (F.col("number") + 1).alias("doc_id"), F.col("body").alias("text")
