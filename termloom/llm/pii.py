@@ -219,8 +219,6 @@ def observed_labels(places: list[tuple[int, int]], spans: list[Span]) -> np.ndar
 
 def further_spans(text: str, spans: list[Span], field: Field) -> list[Span]:
     """Spans of words that the field labels as personal and no base span covers."""
-    if not spans:
-        return []  # nothing in the document to be consistent with
     places = marked_words(text)
     observed = observed_labels(places, spans)
     if not (observed < 0).any():

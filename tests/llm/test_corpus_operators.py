@@ -171,6 +171,14 @@ def test_pii_marginals_agree_with_enumeration(spark):
     assert np.allclose(got, total / total.sum(axis=1, keepdims=True), atol=1e-3)
 
 
+def test_pii_field_runs_without_a_base_span():
+    unary = np.zeros((pii.FEATURES, len(pii.LABELS)))
+    unary[0, 4] = 9.0
+    field = pii.Field(unary, np.zeros((5, 5)), np.zeros((5, 5)))
+    assert pii.further_spans("call 555-2485 now", [], field) == [(3, 5, 13)]
+    assert pii.further_spans("no marks", [], field) == []
+
+
 def test_pii_odd_rows(spark, odd, none, texts):
     field = pii.train(odd)
     rows = pii.scan(odd, field).collect()
