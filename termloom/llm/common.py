@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.plans.joins import fits_broadcast
@@ -60,6 +60,26 @@ def without(placed: DataFrame, dropped: DataFrame) -> DataFrame:
     return placed.join(dropped, list(ROW), "left_anti").drop(*ROW)
 
 
+def running_before(rows: DataFrame, group: str, order: str, value: str, piece: int) -> DataFrame:
+    """``rows`` with ``before``, the sum of ``value`` over the group's rows of smaller ``order``.
+
+    ``order`` is a whole number of which a group has each at most once. A window sees one
+    piece of at most ``piece`` rows; the sums of whole pieces are added.
+    """
+    pieces = rows.withColumn("_piece", F.floor(F.col(order) / piece))
+    earlier = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(group, "_piece").orderBy(order).rowsBetween(*earlier)
+    pieces = pieces.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    sums = pieces.groupBy(group, "_piece").agg(F.sum(value).alias("_sum"))
+    across = F.sum("_sum").over(Window.partitionBy(group).orderBy("_piece").rowsBetween(*earlier))
+    starts = sums.select(group, "_piece", across.alias("_start")).filter("_start <> 0")
+    if fits_broadcast(starts):
+        starts = F.broadcast(starts)
+    before = F.col("_inside") + F.coalesce("_start", F.lit(0))
+    met = pieces.join(starts, [group, "_piece"], "left")
+    return met.select(*rows.columns, before.alias("before"))
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     values = values.astype(np.uint64, copy=True)

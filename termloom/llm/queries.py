@@ -16,7 +16,9 @@ from termloom.llm import (
     near_dedup,
     packing,
     pii,
+    prefix_trie,
     secrets,
+    sql,
     token_counts,
     toxicity,
     warc,
@@ -116,6 +118,12 @@ def op10_near_dedup(spark, sf_dir):
     return classes.select("doc_id", "class_id", "class_size", "keep")
 
 
+@query
+def op11_prefix_trie(spark, sf_dir):
+    nodes, _ = prefix_trie.trie(table(spark, sf_dir, "conversations"))
+    return nodes.drop("turn_ref")
+
+
 def licence_sql() -> str:
     """The same canonical form in DuckDB's functions."""
 
@@ -178,4 +186,5 @@ ORACLES: dict[str, str] = {
         FROM f
     """,
     "op4_licences": licence_sql(),
+    "op11_prefix_trie": sql.PREFIX_TRIE,
 }
