@@ -13,6 +13,7 @@ from termloom.llm import (
     decontamination,
     exact_dedup,
     licences,
+    merkle,
     near_dedup,
     packing,
     pii,
@@ -124,6 +125,11 @@ def op11_prefix_trie(spark, sf_dir):
     return nodes.drop("turn_ref")
 
 
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_newlines())
+
+
 def licence_sql() -> str:
     """The same canonical form in DuckDB's functions."""
 
@@ -187,4 +193,5 @@ ORACLES: dict[str, str] = {
     """,
     "op4_licences": licence_sql(),
     "op11_prefix_trie": sql.PREFIX_TRIE,
+    "op12_merkle_manifest": sql.MERKLE,
 }

@@ -55,3 +55,67 @@ PREFIX_TRIE = f"""
     FROM v JOIN up ON up.key = v.key
     LEFT JOIN v p ON p.d = v.d - 1 AND p.key = list_slice(v.key, 1, v.d - 1)
 """
+
+
+def _leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    fields = (f"coalesce(octet_length(encode({v}))::VARCHAR || ':' || {v}, '-')" for v in values)
+    return f"sha256({' || '.join(fields)})"
+
+
+def _levels(leaves: str) -> str:
+    """All nodes over ``leaves`` (tree, i, digest); to stand in a recursive WITH."""
+    return f"""
+        SELECT tree, 0 AS level, i, digest, count(*) OVER (PARTITION BY tree) AS size FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)), (any_value(size) + 2) // 3
+        FROM {{name}} WHERE size > 1 GROUP BY tree, level, i // 3
+    """
+
+
+def _beside(nodes: str) -> str:
+    run = "PARTITION BY tree, level, i // 3 ORDER BY i ROWS BETWEEN"
+    return f"""
+        SELECT tree, level, i,
+               coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '|' ||
+               coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step
+        FROM {nodes} WHERE size > 1
+    """
+
+
+_TAMPERED = (
+    f"CASE WHEN {crc32('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+)
+
+MERKLE = f"""
+    WITH RECURSIVE l AS (
+        SELECT doc_id, coalesce('=' || source, '-') AS tree, {_leaf('text')} AS digest,
+               {_leaf(_TAMPERED)} AS tampered,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {_leaf('text')}) - 1 AS i
+        FROM documents
+    ), n AS ({_levels('l').format(name='n')}),
+    s AS (
+        SELECT '' AS tree, tree AS of, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, digest
+        FROM n WHERE size = 1
+    ), u AS ({_levels('s').format(name='u')}),
+    nb AS ({_beside('n')}), ub AS ({_beside('u')}),
+    inner_steps AS (
+        SELECT l.doc_id, l.tree, l.i, list(step ORDER BY level) AS steps
+        FROM l JOIN nb ON nb.tree = l.tree AND nb.i = l.i // (3 ** level)::BIGINT GROUP BY ALL
+    ), upper_steps AS (
+        SELECT s.of, list(step ORDER BY level) AS steps
+        FROM s JOIN ub ON ub.i = s.i // (3 ** level)::BIGINT GROUP BY ALL
+    ), w AS (
+        SELECT l.*, s.digest AS subroot, (SELECT digest FROM u WHERE size = 1) AS root,
+               list_concat(coalesce(a.steps, []::VARCHAR[]), coalesce(b.steps, []::VARCHAR[])) AS steps
+        FROM l JOIN s ON s.of = l.tree LEFT JOIN upper_steps b ON b.of = l.tree
+        LEFT JOIN inner_steps a ON a.tree = l.tree AND a.i = l.i
+    ), f AS (
+        SELECT doc_id, digest AS leaf, subroot, root,
+               sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256,
+               list_reduce(steps, lambda d, x: sha256(split_part(x, '|', 1) || d || split_part(x, '|', 2)),
+                           coalesce(tampered, digest)) AS folded_root
+        FROM w
+    )
+    SELECT *, folded_root = root AS verified FROM f
+"""
