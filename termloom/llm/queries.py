@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from termloom.llm import (
     decontamination,
     exact_dedup,
+    language,
     licences,
     merkle,
     near_dedup,
@@ -42,8 +43,12 @@ def tokenizer(name: str) -> str:
     return Path(public_tokenizers.path(name)).read_text()
 
 
+def _remainder(folds: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
 def _fold():
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    return _remainder(3)
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
@@ -130,6 +135,14 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_newlines())
 
 
+@query
+def op13_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(_remainder(4) != 2))
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
 def licence_sql() -> str:
     """The same canonical form in DuckDB's functions."""
 
