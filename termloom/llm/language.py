@@ -91,19 +91,19 @@ def ngrams(rows: list[int], pieces: list[str]) -> Iterator[tuple[np.ndarray, np.
     row = np.repeat(np.array(rows), [len(piece) for piece in pieces])[near]
     space = ~letter[near]
     codes = np.where(space, _SPACE, codes[near]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    rolled, inside = codes, np.zeros(len(codes), bool)
+    # Whether a space follows a space, or stands inside; it may only be first or last.
+    rolled, broken = codes, space & np.roll(space, -1)
     for order in range(2, max(ORDERS) + 1):
         if len(codes) < order:
             return
         rolled = rolled[:-1] * np.uint64(0xD6E8FEB86659FD93) + codes[order - 1 :]
         ends = space[order - 1 :]
-        # A space may only be the first or the last character.
-        whole = ~inside[: len(ends)] & ~(ends & space[: len(ends)] if order == 2 else False)
+        whole = ~broken[: len(ends)]
         if order in ORDERS:
             found = rolled[whole]
             found = (found ^ (found >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(order)
             yield (found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), row[: len(ends)][whole]
-        inside = inside[: len(ends)] | ends
+        broken = broken[: len(ends)] | ends
 
 
 @dataclass
