@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,3 +104,7 @@ class Memo(dict):
             self.clear()
         value = self[key] = self.make(key)
         return value
+
+
+# The hash of a word, one table a worker for all operators.
+word_hash = Memo(xxhash.xxh3_64_intdigest)

@@ -35,11 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ROW, Memo, located, mix, text_column, without, words
+from termloom.llm.common import ROW, located, mix, text_column, without, word_hash, words
 from termloom.llm.components import components
 from termloom.plans.joins import fits_broadcast
 from termloom.plans.numbering import with_dense_ids
@@ -63,12 +62,11 @@ GROUP_SHINGLES = 8_000_000
 CHUNK = 1 << 14
 
 _LAST = (1 << 63) - 1
-_word_hash = Memo(xxhash.xxh3_64_intdigest)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     found = words(text)
-    return np.fromiter(map(_word_hash.__getitem__, found), np.uint64, len(found))
+    return np.fromiter(map(word_hash.__getitem__, found), np.uint64, len(found))
 
 
 def shingles(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -30,16 +30,16 @@ if there are none). Repeated rows are scored alike.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import ROW, Memo, located, text_column, without, words
+from termloom.llm.common import ROW, located, text_column, without, word_hash, words
 from termloom.plans.staging import stage
 
 TOXIC_EXAMPLES = 4096
@@ -55,9 +55,14 @@ CHUNK = 64
 NEIGHBOURS = 15
 # Blocks scored before bounds are compared.
 FIRST_BLOCKS = 4
+# More than the error of single precision in a cosine.
+NEAR = 1e-5
 THRESHOLD = 0.7
-# Words whose documents one task counts before it hands them on.
-HELD = 1 << 22
+# Documents whose words a task takes up at a time, words it sorts at once, and sorted ones it holds
+# before it hands them on.
+DOCS_AT_ONCE = 256
+WAITING = 1 << 18
+HELD = 1 << 20
 # Weight of the labels' share in a vote.
 SHRINK = 0.5
 
@@ -91,30 +96,35 @@ class BlockMaxIndex:
         held = np.bincount(columns, minlength=terms)
         most = np.argsort(-held, kind="stable")[:DENSE]
         most = most[held[most] * BLOCK > examples]
-        # A term's row in the dense matrix, or -1.
+        # A term's column in the dense matrix, or -1.
         self.slot = np.full(terms, -1, np.int32)
         self.slot[most] = np.arange(len(most))
-        self.dense = np.zeros((len(most), examples))
+        self.dense = np.zeros((self.blocks * BLOCK, len(most)), np.float32)
         slots = self.slot[columns]
-        np.add.at(self.dense, (slots[slots >= 0], rows[slots >= 0]), weights[slots >= 0])
+        np.add.at(self.dense, (rows[slots >= 0], slots[slots >= 0]), weights[slots >= 0])
         rows, columns, weights = (x[slots < 0] for x in (rows, columns, weights))
         order = np.lexsort((rows, columns))
-        self.rows, self.weights = rows[order].astype(np.int32), weights[order]
-        cell = columns[order].astype(np.int64) * self.blocks + self.rows // BLOCK
+        self.rows = rows[order].astype(np.min_scalar_type(examples))
+        self.weights, columns = weights[order], columns[order]
+        self.first = np.searchsorted(columns, np.arange(terms + 1)).astype(np.int32)
+        cell = columns.astype(np.int64) * self.blocks + self.rows // BLOCK
         # Only the cells that have postings: their first posting, block and largest weight.
         cells, starts = np.unique(cell, return_index=True)
-        self.starts = np.append(starts, len(cell)).astype(np.int64)
-        self.block = (cells % self.blocks).astype(np.int32)
+        self.starts = np.append(starts, len(cell)).astype(np.int32)
+        self.block = (cells % self.blocks).astype(np.min_scalar_type(self.blocks))
         self.highest = np.maximum.reduceat(self.weights, starts) if len(starts) else self.weights
-        self.first_cell = np.searchsorted(cells, np.arange(terms + 1) * self.blocks)
+        self.first_cell = np.searchsorted(cells, np.arange(terms + 1) * self.blocks).astype(np.int32)
+
+    def _dense_query(self, terms, weights) -> np.ndarray:
+        query = np.zeros(self.dense.shape[1])
+        slots = self.slot[terms]
+        query[slots[slots >= 0]] = weights[slots >= 0]
+        return query
 
     def dense_parts(self, queries) -> np.ndarray:
-        """The part of each query's cosines that comes from the dense terms."""
-        matrix = np.zeros((len(queries), len(self.dense)))
-        for i, (terms, weights) in enumerate(queries):
-            slots = self.slot[terms]
-            matrix[i, slots[slots >= 0]] = weights[slots >= 0]
-        return matrix @ self.dense
+        """The part of each query's cosines that comes from the dense terms, within ``NEAR``."""
+        matrix = np.array([self._dense_query(*query) for query in queries], np.float32)
+        return matrix @ self.dense.T
 
     def nearest(
         self, terms, weights, k: int, skip: int = -1, base: np.ndarray | None = None
@@ -125,58 +135,63 @@ class BlockMaxIndex:
         """
         if base is None:
             base = self.dense_parts([(terms, weights)])[0]
-        bound = np.zeros(self.blocks * BLOCK)
-        bound[: self.examples] = base
-        bound = bound.reshape(self.blocks, BLOCK).max(axis=1)
+        query = self._dense_query(terms, weights)
         rare = self.slot[terms] < 0
         terms, weights = terms[rare], weights[rare]
         lengths = self.first_cell[terms + 1] - self.first_cell[terms]
         cells, each = _ranges(self.first_cell[terms], lengths), np.repeat(weights, lengths)
         block = self.block[cells]
+        bound = base.reshape(-1, BLOCK).max(axis=1)
         bound = bound + np.bincount(block, self.highest[cells] * each, minlength=self.blocks)
-        scores = np.zeros(self.examples)
-
-        def add(chosen):
-            wanted = np.zeros(self.blocks, bool)
-            wanted[chosen] = True
-            at, factor = cells[wanted[block]], each[wanted[block]]
-            held = self.starts[at + 1] - self.starts[at]
-            postings = _ranges(self.starts[at], held)
-            found = np.bincount(
-                self.rows[postings],
-                self.weights[postings] * np.repeat(factor, held),
-                minlength=self.examples,
-            )
-            inside = np.repeat(wanted, BLOCK)[: self.examples]
-            scores[inside] = base[inside] + found[inside]
+
+        def scored(wanted):
+            """The cosines in the wanted blocks, 0 elsewhere."""
+            if 2 * np.count_nonzero(wanted) > self.blocks:
+                bounds = zip(self.first[terms].tolist(), self.first[terms + 1].tolist())
+                lists = [slice(start, end) for start, end in bounds]
+                held, factor = self.first[terms + 1] - self.first[terms], weights
+                of = np.concatenate([self.rows[x] for x in lists] or [self.rows[:0]])
+                values = np.concatenate([self.weights[x] for x in lists] or [self.weights[:0]])
+            else:
+                chosen = wanted[block]
+                at, factor = cells[chosen], each[chosen]
+                held = self.starts[at + 1] - self.starts[at]
+                postings = _ranges(self.starts[at], held)
+                of, values = self.rows[postings], self.weights[postings]
+            found = np.bincount(of, values * np.repeat(factor, held), minlength=len(base)) + base
+            found *= np.repeat(wanted, BLOCK)
             if skip >= 0:
-                scores[skip] = 0
-
-        order = np.argsort(-bound, kind="stable")
-        add(order[:FIRST_BLOCKS])
-        found = np.flatnonzero(scores > 0)
-        kth = np.partition(scores[found], -k)[-k] if len(found) >= k else 0.0
-        rest = order[FIRST_BLOCKS:]
-        rest = rest[(bound[rest] >= kth - 1e-6) & (bound[rest] > 0)]
-        if len(rest):
-            add(rest)
-            found = np.flatnonzero(scores > 0)
-        near = scores[found].round(6)
-        if len(found) > k:
-            kept = near >= np.partition(near, -k)[-k]
-            found, near = found[kept], near[kept]
+                found[skip] = 0
+            return found
+
+        # The best blocks first; then all whose bound reaches the k-th cosine found there.
+        wanted = np.zeros(self.blocks, bool)
+        wanted[np.argpartition(-bound, min(FIRST_BLOCKS, self.blocks) - 1)[:FIRST_BLOCKS]] = True
+        scores = scored(wanted)
+        enough = _least(scores[np.repeat(wanted, BLOCK)], k) - NEAR
+        more = (bound >= enough) & (bound > 0)
+        if (more & ~wanted).any():
+            scores = scored(more | wanted)
+        found = np.flatnonzero((scores > 0) & (scores >= enough))
+        found = found[scores[found] >= _least(scores[found], k) - NEAR]
+        # The dense part anew, in double precision.
+        scores = scores[found] - base[found] + self.dense[found].astype(float) @ query
+        near = scores.round(6)
         order = np.argsort(-near, kind="stable")[:k]
         return found[order], np.minimum(near[order], 1.0)
 
 
-_word_hash = Memo(xxhash.xxh3_64_intdigest)
+def _least(scores: np.ndarray, k: int) -> float:
+    """The ``k``-th largest of the scores."""
+    return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
 
 
 def _counted_words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of a text's words, ascending, and how often each occurs."""
-    found = words(text)
-    hashes = np.fromiter(map(_word_hash.__getitem__, found), np.uint64, len(found))
-    return np.unique(hashes.view(np.int64), return_counts=True)
+    found = Counter(words(text))
+    hashes = np.fromiter(map(word_hash.__getitem__, found), np.uint64, len(found)).view(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], np.fromiter(found.values(), np.int64, len(found))[order]
 
 
 @dataclass
@@ -277,24 +292,43 @@ def _example_terms(batches):
         )
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms, ascending, and the sums of their numbers."""
+    terms = np.concatenate([terms for terms, _ in parts])
+    found, place = np.unique(terms, return_inverse=True)
+    return found, np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def _frequency_batches(batches):
-    waiting, held, count = [], 0, 0
+    waiting, held, parts, count = [], 0, [], 0
+    names = ["term", "n"]
 
     def settled():
-        terms, n = np.unique(np.concatenate(waiting), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "n"])
+        """What waits, each term with the number of its documents."""
+        hashes = np.fromiter(map(word_hash.__getitem__, waiting), np.uint64, len(waiting))
+        return np.unique(hashes.view(np.int64), return_counts=True)
+
+    def summed():
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _added(parts)], names)
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            count += 1
-            waiting.append(_counted_words(text)[0])
-            held += len(waiting[-1])
+        for at in range(0, len(batch), DOCS_AT_ONCE):
+            texts = batch.column(0).slice(at, DOCS_AT_ONCE).to_pylist()
+            count += len(texts)
+            for text in texts:
+                waiting += set(words(text))
+            if len(waiting) > WAITING:
+                parts.append(settled())
+                held += len(parts[-1][0])
+                waiting = []
             if held > HELD:
-                yield settled()
-                waiting, held = [], 0
-    if held:
-        yield settled()
-    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([count])], ["term", "n"])
+                yield summed()
+                parts, held = [], 0
+    if waiting:
+        parts.append(settled())
+    if parts:
+        yield summed()
+    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([count])], names)
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
@@ -447,11 +481,14 @@ def _votes(placed: DataFrame, model: Model) -> DataFrame:
     sent = replace(model, frequencies=None)
     shared = placed.sparkSession.sparkContext.broadcast(sent)
 
+    def parts(batches):
+        for batch in batches:
+            for at in range(0, len(batch), DOCS_AT_ONCE):
+                yield batch.slice(at, DOCS_AT_ONCE)
+
     def search(batches):
         model = shared.value
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in parts(batches):
             near, cosines, lengths, others, weights = zip(*model.search(batch.column(3).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [
