@@ -8,10 +8,10 @@ tasks of ``GROUP_BINS`` and packed best-fit decreasing again, round after round,
 can hold them all or a round saves less than one bin in a hundred. A round moves one row per open
 bin; the pieces' final places come from joining the rounds' moves.
 
-Token ids come from the tokenizer itself. A text is cut where the tokenizer cuts it before its
-merges; each distinct cut is encoded once per worker (a bounded memo), which gives the same ids as
-encoding the whole text. Texts with characters for which the cutting rule here might differ go
-through the tokenizer whole.
+Token ids come from the tokenizer itself, which cuts a text before its merges and drops white
+space. Each distinct cut is encoded once per worker, and what lies between white space is looked up
+whole (in a bounded memo); this gives the same ids as encoding the whole text. Texts with
+characters for which the cutting rule here might differ go through the tokenizer whole.
 
 Nulls and repeats: a null text is empty and gives one piece holding only the separator. Null ids and
 repeated rows are packed like others. Extra columns play no part.
@@ -19,6 +19,7 @@ repeated rows are packed like others. Extra columns play no part.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -39,7 +40,7 @@ NEARLY_FULL = CAPACITY - 4
 LOCAL_PIECES = 1 << 16
 GROUP_BINS = 50_000
 LEAST_GAIN = 0.01
-MEMO_WORDS = 400_000
+MEMO_CHUNKS = 300_000
 # Characters of text handled between look-ups of new words.
 SUB_BATCH = 1 << 20
 
@@ -47,11 +48,18 @@ SUB_BATCH = 1 << 20
 CUTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 # Characters that classes of Python and of the tokenizer may judge apart, that its normaliser may
 # change, or that open its special strings.
+UNSURE_ASCII = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 UNSURE = re.compile(
     r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0130\u0250-\u200f\u2028-\u202f\u205f-\U0010ffff]|<\|"
 )
 
 
+def unsure(text: str) -> bool:
+    if text.isascii():
+        return any(mark in text for mark in UNSURE_ASCII)
+    return UNSURE.search(text) is not None
+
+
 class WordIds:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -66,9 +74,9 @@ class WordIds:
             self.ends[number] = token.endswith("</w>")
         self.memo: dict[str, bytes] = {}
 
-    def _learn(self, cuts: list[str]) -> None:
-        if len(self.memo) + len(cuts) > MEMO_WORDS:
-            self.memo.clear()
+    def _learn(self, chunks: set[str]) -> None:
+        parts = {chunk: CUTS.findall(chunk) for chunk in chunks}
+        cuts = sorted(set(chain.from_iterable(parts.values())) - self.memo.keys())
         lines = [" ".join(cuts[i : i + 256]) for i in range(0, len(cuts), 256)]
         encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), np.uint32)
@@ -77,24 +85,34 @@ class WordIds:
         for cut, stop in zip(cuts, (4 * stops).tolist(), strict=True):
             self.memo[cut] = data[at:stop]
             at = stop
+        for chunk, found in parts.items():
+            if len(found) > 1:
+                self.memo[chunk] = b"".join(map(self.memo.__getitem__, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if UNSURE.search(t) else CUTS.findall(t.lower()) for t in texts]
-        wanted = set(chain.from_iterable(c for c in cut if c))
+        chunks = [None if unsure(t) else t.lower().split() for t in texts]
+        wanted = set(chain.from_iterable(c for c in chunks if c))
         new = wanted - self.memo.keys()
         if new:
-            if len(self.memo) + len(new) > MEMO_WORDS:
+            if len(self.memo) + len(new) > MEMO_CHUNKS:
+                self.memo.clear()
                 new = wanted
-            self._learn(sorted(new))
+            self._learn(new)
         ids = self.memo.__getitem__
         return [
             np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32).tobytes()
             if c is None
             else b"".join(map(ids, c))
-            for t, c in zip(texts, cut)
+            for t, c in zip(texts, chunks)
         ]
 
 
+@functools.lru_cache(maxsize=1)
+def word_ids(definition: str) -> WordIds:
+    """One encoder a worker, which keeps what it has learnt from task to task."""
+    return WordIds(definition)
+
+
 def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of every item, largest items first, each into the fullest bin that takes it."""
     bins, offsets = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
@@ -135,7 +153,7 @@ def _pieces(definition):
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset"]
 
     def run(batches):
-        encoder = WordIds(definition.value)
+        encoder = word_ids(definition.value)
         task, chunk = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
