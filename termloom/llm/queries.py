@@ -143,46 +143,6 @@ def op13_language_id(spark, sf_dir):
     return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
 
 
-def licence_sql() -> str:
-    """The same canonical form in DuckDB's functions."""
-
-    def quoted(value: str) -> str:
-        return "'" + value.replace("'", "''") + "'"
-
-    copyright_line = licences.COPYRIGHT_LINE.replace("(?md)", "(?m)")
-    lines = (
-        f"' ' || replace(regexp_replace(regexp_replace(lower(text), {quoted(copyright_line)}, '', 'g'), "
-        f"{quoted(licences.OTHER)}, '  ', 'g'), chr(10), ' ' || chr(10) || ' ') || ' '"
-    )
-    for pair in licences.SPELLINGS:
-        spelling, other = (f" {words} ".replace(" ", "  ")[1:-1] for words in pair)
-        lines = f"replace({lines}, {quoted(spelling)}, {quoted(other)})"
-    known = ", ".join(f"({quoted(i)}, {quoted(t)})" for i, t in licences.KNOWN)
-
-    def digest(value: str) -> str:
-        flat = f"trim(regexp_replace({value}, {quoted(licences.BREAK)}, '  ', 'g'))"
-        return f"CASE WHEN {flat} <> '' THEN sha256({flat}) END"
-
-    return f"""
-        WITH known AS (
-            SELECT {digest('lines')} AS digest, min(id) AS licence_id
-            FROM (SELECT id, {lines} AS lines FROM (VALUES {known}) k(id, text)) GROUP BY 1
-        ), d AS (
-            SELECT doc_id, {lines} AS lines FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
-        ), l AS (
-            SELECT doc_id, k.licence_id
-            FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM d) x
-            JOIN known k ON k.digest = {digest('line')}
-        ), g AS (
-            SELECT doc_id, string_agg(DISTINCT licence_id, ',' ORDER BY licence_id) AS ids, count(*) AS n
-            FROM l GROUP BY doc_id
-        )
-        SELECT d.doc_id, {digest('d.lines')} AS canonical_sha256, k.licence_id,
-               coalesce(g.ids, '') AS line_licences, coalesce(g.n, 0) AS n_lines
-        FROM d LEFT JOIN known k ON k.digest = {digest('d.lines')} LEFT JOIN g USING (doc_id)
-    """
-
-
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -204,7 +164,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM f
     """,
-    "op4_licences": licence_sql(),
+    "op4_licences": sql.licences(),
     "op11_prefix_trie": sql.PREFIX_TRIE,
     "op12_merkle_manifest": sql.MERKLE,
 }

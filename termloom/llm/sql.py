@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from termloom.llm import licences as known
+
 
 def crc32(value: str) -> str:
     """The unsigned CRC-32 of an ASCII string, bit by bit."""
@@ -119,3 +121,61 @@ MERKLE = f"""
     )
     SELECT *, folded_root = root AS verified FROM f
 """
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _values(rows) -> str:
+    return ", ".join(f"({', '.join(map(_quoted, row))})" for row in rows)
+
+
+def licences() -> str:
+    """The same canonical form in DuckDB's functions."""
+    copyright_line = known.COPYRIGHT_LINE.replace("(?md)", "(?m)")
+    lines = (
+        f"' ' || replace(regexp_replace(regexp_replace(lower(text), {_quoted(copyright_line)}, '', 'g'), "
+        f"{_quoted(known.OTHER)}, '  ', 'g'), chr(10), ' ' || chr(10) || ' ') || ' '"
+    )
+    for pair in known.SPELLINGS:
+        spelling, other = (f" {words} ".replace(" ", "  ")[1:-1] for words in pair)
+        lines = f"replace({lines}, {_quoted(spelling)}, {_quoted(other)})"
+    names = [(licence_id, name) for licence_id, names in known.NAMES for name in names]
+
+    def digest(value: str) -> str:
+        flat = f"trim(regexp_replace({value}, {_quoted(known.BREAK)}, '  ', 'g'))"
+        return f"CASE WHEN {flat} <> '' THEN sha256({flat}) END"
+
+    return f"""
+        WITH texts AS (
+            SELECT * FROM (VALUES {_values(known.KNOWN)}) k(id, text)
+            UNION ALL
+            SELECT DISTINCT id, {_quoted(known.TAG)} || ' ' || id FROM (VALUES {_values(names)}) n(id, name)
+            UNION ALL
+            SELECT id, subject || ' ' || verb || ' ' || link || ' ' || name
+            FROM (VALUES {_values(names)}) n(id, name),
+                 (VALUES {_values((x,) for x in known.SUBJECTS)}) s(subject),
+                 (VALUES {_values((x,) for x in known.VERBS)}) v(verb),
+                 (VALUES {_values((x,) for x in known.LINKS)}) l(link)
+        ), known AS (
+            SELECT digest, min(id) AS licence_id
+            FROM (
+                SELECT {digest('lines')} AS digest, id FROM (SELECT id, {lines} AS lines FROM texts)
+                UNION ALL
+                SELECT digest, id FROM (VALUES {_values(known.DIGESTS)}) t(id, digest)
+            ) GROUP BY 1
+        ), d AS (
+            SELECT doc_id, {lines} AS lines FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+        ), l AS (
+            SELECT doc_id, k.licence_id
+            FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM d) x
+            JOIN known k ON k.digest = {digest('line')}
+        ), g AS (
+            SELECT doc_id, string_agg(DISTINCT licence_id, ',' ORDER BY licence_id) AS ids, count(*) AS n
+            FROM l GROUP BY doc_id
+        )
+        SELECT d.doc_id, {digest('d.lines')} AS canonical_sha256, k.licence_id,
+               coalesce(g.ids, '') AS line_licences, coalesce(g.n, 0) AS n_lines
+        FROM d LEFT JOIN known k ON k.digest = {digest('d.lines')} LEFT JOIN g USING (doc_id)
+    """
