@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,19 +93,69 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-class Memo(dict):
-    """A dict that fills itself by ``make`` and starts anew beyond ``limit`` entries."""
+# Longer texts are taken in pieces, cut at white space; and so many characters are worked on at once.
+PIECE = 1 << 20
+SUB_BATCH = 1 << 18
 
-    def __init__(self, make, limit: int = 300_000):
-        super().__init__()
-        self.make, self.limit = make, limit
 
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.make(key)
-        return value
+def pieces(text: str) -> Iterator[str]:
+    at = 0
+    while len(text) - at > PIECE:
+        end = at + PIECE
+        cut = max(text.rfind(space, at, end) for space in " \n\t")
+        end = cut if cut > at else end
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
 
-# The hash of a word, one table a worker for all operators.
-word_hash = Memo(xxhash.xxh3_64_intdigest)
+def sub_batches(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+    """Pieces of texts and the numbers of their texts, about ``SUB_BATCH`` characters at a time."""
+    rows, parts, held = [], [], 0
+    for row, text in enumerate(texts):
+        for part in pieces(text or ""):
+            rows.append(row)
+            parts.append(part)
+            held += len(part)
+            if held >= SUB_BATCH:
+                yield rows, parts
+                rows, parts, held = [], [], 0
+    if rows:
+        yield rows, parts
+
+
+@functools.cache
+def _word_characters() -> np.ndarray:
+    return np.fromiter((chr(i).isalnum() for i in range(0x110000)), bool, 0x110000)
+
+
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """The 64-bit hashes of every text's ``words``, in order.
+
+    The characters of many texts are hashed at once: a word is the sum of its mixed characters times
+    powers of a constant, mixed. A run over ``PIECE`` characters is cut there.
+    """
+    found: list[list[np.ndarray]] = [[] for _ in texts]
+    for rows, parts in sub_batches(texts):
+        lowered = [part.lower() for part in parts]
+        joined = "\n".join(lowered) + "\n"
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = _word_characters()[codes]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        starts, at = np.flatnonzero(begins), np.flatnonzero(inside)
+        if not len(at):
+            continue
+        number = np.cumsum(begins[at]) - 1
+        place = at - starts[number]
+        powers = np.full(place.max() + 1, 0x9E3779B97F4A7C15, np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        values = mix(codes[at]) * powers[place]
+        hashes = mix(np.add.reduceat(values, np.flatnonzero(begins[at])))
+        ends = np.cumsum([len(part) + 1 for part in lowered])
+        cuts = np.searchsorted(starts, ends)
+        for row, start, end in zip(rows, [0, *cuts[:-1].tolist()], cuts.tolist()):
+            found[row].append(hashes[start:end])
+    none = np.empty(0, np.uint64)
+    return [own[0] if len(own) == 1 else np.concatenate([none, *own]) for own in found]

@@ -13,8 +13,8 @@ of the matrix gathered and summed per text. The score is the probability of the
 Nulls: a null text or one without letters is ``und`` with score 0, as is every text where no language
 was learnt. Documents with a null language teach nothing. Of languages that fit alike the one
 with the smallest name is chosen. Repeated rows and null ids are treated like others, extra columns
-play no part. Texts are read whole; one over ``PIECE`` characters is cut at white space, between
-n-grams (a run without white space of that length is cut where it reaches it).
+play no part. Texts are read whole; one of over a million characters is cut at white space, between
+n-grams (a run of that length without white space is cut where it reaches it).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import text_column
+from termloom.llm.common import sub_batches, text_column
 
 ORDERS = (2, 3, 4)
 BUCKET_BITS = 16
@@ -37,9 +37,7 @@ LANGUAGES = 128
 UNKNOWN = "und"
 # Added to every count.
 SMOOTHING = 0.5
-PIECE = 1 << 20
-# Characters hashed at once, and cells of the matrix gathered at once.
-SUB_BATCH = 1 << 18
+# Cells of the matrix gathered at once.
 CELLS = 1 << 22
 
 _SPACE = 32
@@ -51,44 +49,16 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def _pieces(text: str) -> Iterator[str]:
-    at = 0
-    while len(text) - at > PIECE:
-        end = at + PIECE
-        cut = max(text.rfind(space, at, end) for space in " \n\t")
-        end = cut if cut > at else end
-        yield text[at:end]
-        at = end
-    yield text[at:]
-
-
-def _sub_batches(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-    """Pieces of texts and the numbers of their texts, about ``SUB_BATCH`` characters at a time."""
-    rows, pieces, held = [], [], 0
-    for row, text in enumerate(texts):
-        for piece in _pieces(text):
-            rows.append(row)
-            pieces.append(f" {piece.lower()} ")
-            held += len(piece)
-            if held >= SUB_BATCH:
-                yield rows, pieces
-                rows, pieces, held = [], [], 0
-    if rows:
-        yield rows, pieces
-
-
-def ngrams(rows: list[int], pieces: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per order: the buckets of all n-grams, and the rows they come from, ascending.
-
-    Every piece is to begin and end with a space.
-    """
-    joined = "".join(pieces).encode("utf-32-le", "replace")
+def ngrams(rows: list[int], parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per order: the buckets of all n-grams, and the rows they come from, ascending."""
+    lowered = [f" {part.lower()} " for part in parts]
+    joined = "".join(lowered).encode("utf-32-le", "surrogatepass")
     codes = np.frombuffer(joined, np.uint32)
     letter = _letters()[codes]
     near = letter.copy()
     near[1:] |= letter[:-1]
     near[:-1] |= letter[1:]
-    row = np.repeat(np.array(rows), [len(piece) for piece in pieces])[near]
+    row = np.repeat(np.array(rows), [len(part) for part in lowered])[near]
     space = ~letter[near]
     codes = np.where(space, _SPACE, codes[near]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     # Whether a space follows a space, or stands inside; it may only be first or last.
@@ -118,8 +88,8 @@ class Model:
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         step = max(1, CELLS // len(self.languages))
-        for rows, pieces in _sub_batches(texts):
-            for buckets, of in ngrams(rows, pieces):
+        for rows, parts in sub_batches(texts):
+            for buckets, of in ngrams(rows, parts):
                 met[of] = True
                 for at in range(0, len(buckets), step):
                     part = of[at : at + step]
@@ -140,8 +110,8 @@ def _counted(languages: list[str]):
         for batch in batches:
             texts = batch.column(0).to_pylist()
             of = np.array([number[x] for x in batch.column(1).to_pylist()], np.int64)
-            for rows, pieces in _sub_batches(texts):
-                for buckets, row in ngrams(rows, pieces):
+            for rows, parts in sub_batches(texts):
+                for buckets, row in ngrams(rows, parts):
                     counts += np.bincount(of[row] * BUCKETS + buckets, minlength=len(counts))
         cells = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], ["cell", "n"])

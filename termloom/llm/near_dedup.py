@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ROW, located, mix, text_column, without, word_hash, words
+from termloom.llm.common import ROW, located, mix, text_column, without, word_hashes
 from termloom.llm.components import components
 from termloom.plans.joins import fits_broadcast
 from termloom.plans.numbering import with_dense_ids
@@ -58,15 +58,18 @@ MERGE = 64
 DRAWS = 1 << 16
 GROUP_NODES = 1000
 GROUP_SHINGLES = 8_000_000
+# Documents whose words are hashed at once.
+DOCS_AT_ONCE = 256
 # Shingles sampled at once, which bounds memory on very long texts.
 CHUNK = 1 << 14
 
 _LAST = (1 << 63) - 1
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    found = words(text)
-    return np.fromiter(map(word_hash.__getitem__, found), np.uint64, len(found))
+def hashed_texts(column: pa.Array) -> Iterator[np.ndarray]:
+    """The word hashes of each text of a column."""
+    for at in range(0, len(column), DOCS_AT_ONCE):
+        yield from word_hashes(column.slice(at, DOCS_AT_ONCE).to_pylist())
 
 
 def shingles(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,9 +99,9 @@ def _sketch_batches(batches):
         waiting, held = [], 0
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
+        for hashes in hashed_texts(batch.column(0)):
             count += 1
-            waiting.append(_cells(shingles(word_hashes(text))[0]))
+            waiting.append(_cells(shingles(hashes)[0]))
             held += len(waiting[-1])
             if held > SKETCH:
                 settle()
@@ -211,9 +214,8 @@ def signatures(placed: DataFrame, factors) -> DataFrame:
         draws = sampler()
         for batch in batches:
             digests, sizes, keys = [], [], []
-            for text in batch.column(3).to_pylist():
-                hashes = word_hashes(text)
-                digests.append(hashlib.blake2b(" ".join(words(text)).encode(), digest_size=16).digest())
+            for hashes in hashed_texts(batch.column(3)):
+                digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 found, counts = shingles(hashes)
                 sizes.append(len(found))
                 if len(found):
@@ -320,8 +322,8 @@ def _vector_batches(factors):
     def run(batches):
         for batch in batches:
             hashes, weights = [], []
-            for text in batch.column(2).to_pylist():
-                found, counts = shingles(word_hashes(text))
+            for words in hashed_texts(batch.column(2)):
+                found, counts = shingles(words)
                 short, at = np.unique(found.astype(np.uint32), return_index=True)
                 hashes.append(short.tobytes())
                 weights.append(_weights(found, counts, factors.value)[at].astype(np.float16).tobytes())

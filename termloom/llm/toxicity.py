@@ -8,7 +8,8 @@ block it keeps the largest weight. The words that most examples hold are a dense
 multiplied for many queries at once. A query bounds every block's cosine by the block's largest
 dense part plus those maxima, scores the most promising blocks, and then only those whose bound
 reaches the k-th best cosine found. Blocks left out cannot hold a nearer example, so the nearest
-``NEIGHBOURS`` are exact.
+``NEIGHBOURS`` are exact. A query whose dense part singles out no block would be left with nearly
+all of them, and is scored on its whole posting lists, without bounds.
 
 A document's vector has all of its words, weighted by TF-IDF. No word is left out; one that tells the
 labels apart, by a chi-square over ``LIKELY_CHI2`` among the examples, weighs more by the root of
@@ -30,7 +31,6 @@ if there are none). Repeated rows are scored alike.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import ROW, located, text_column, without, word_hash, words
+from termloom.llm.common import ROW, located, text_column, without, word_hashes
 from termloom.plans.staging import stage
 
 TOXIC_EXAMPLES = 4096
@@ -55,6 +55,8 @@ CHUNK = 64
 NEIGHBOURS = 15
 # Blocks scored before bounds are compared.
 FIRST_BLOCKS = 4
+# Blocks are bounded if the best dense part of one is so many times that of the middle one.
+STANDS_OUT = 2.0
 # More than the error of single precision in a cosine.
 NEAR = 1e-5
 THRESHOLD = 0.7
@@ -104,16 +106,19 @@ class BlockMaxIndex:
         np.add.at(self.dense, (rows[slots >= 0], slots[slots >= 0]), weights[slots >= 0])
         rows, columns, weights = (x[slots < 0] for x in (rows, columns, weights))
         order = np.lexsort((rows, columns))
-        self.rows = rows[order].astype(np.min_scalar_type(examples))
-        self.weights, columns = weights[order], columns[order]
+        rows, columns, weights = rows[order], columns[order], weights[order]
+        # An example in the upper half, its weight's bits in the lower.
+        self.postings = rows.astype(np.uint64) << np.uint64(32) | weights.view(np.uint32)
         self.first = np.searchsorted(columns, np.arange(terms + 1)).astype(np.int32)
-        cell = columns.astype(np.int64) * self.blocks + self.rows // BLOCK
+        block = (rows // BLOCK).astype(np.min_scalar_type(self.blocks))
         # Only the cells that have postings: their first posting, block and largest weight.
-        cells, starts = np.unique(cell, return_index=True)
-        self.starts = np.append(starts, len(cell)).astype(np.int32)
-        self.block = (cells % self.blocks).astype(np.min_scalar_type(self.blocks))
-        self.highest = np.maximum.reduceat(self.weights, starts) if len(starts) else self.weights
-        self.first_cell = np.searchsorted(cells, np.arange(terms + 1) * self.blocks).astype(np.int32)
+        begins = np.ones(len(columns), bool)
+        begins[1:] = (columns[1:] != columns[:-1]) | (block[1:] != block[:-1])
+        starts = np.flatnonzero(begins).astype(np.int32)
+        self.starts = np.append(starts, np.int32(len(columns)))
+        self.block = block[starts]
+        self.highest = np.maximum.reduceat(weights, starts) if len(starts) else weights
+        self.first_cell = np.searchsorted(columns[starts], np.arange(terms + 1)).astype(np.int32)
 
     def _dense_query(self, terms, weights) -> np.ndarray:
         query = np.zeros(self.dense.shape[1])
@@ -138,40 +143,27 @@ class BlockMaxIndex:
         query = self._dense_query(terms, weights)
         rare = self.slot[terms] < 0
         terms, weights = terms[rare], weights[rare]
-        lengths = self.first_cell[terms + 1] - self.first_cell[terms]
-        cells, each = _ranges(self.first_cell[terms], lengths), np.repeat(weights, lengths)
-        block = self.block[cells]
-        bound = base.reshape(-1, BLOCK).max(axis=1)
-        bound = bound + np.bincount(block, self.highest[cells] * each, minlength=self.blocks)
 
-        def scored(wanted):
-            """The cosines in the wanted blocks, 0 elsewhere."""
-            if 2 * np.count_nonzero(wanted) > self.blocks:
-                bounds = zip(self.first[terms].tolist(), self.first[terms + 1].tolist())
-                lists = [slice(start, end) for start, end in bounds]
-                held, factor = self.first[terms + 1] - self.first[terms], weights
-                of = np.concatenate([self.rows[x] for x in lists] or [self.rows[:0]])
-                values = np.concatenate([self.weights[x] for x in lists] or [self.weights[:0]])
-            else:
-                chosen = wanted[block]
-                at, factor = cells[chosen], each[chosen]
-                held = self.starts[at + 1] - self.starts[at]
-                postings = _ranges(self.starts[at], held)
-                of, values = self.rows[postings], self.weights[postings]
-            found = np.bincount(of, values * np.repeat(factor, held), minlength=len(base)) + base
-            found *= np.repeat(wanted, BLOCK)
+        def summed(postings, held, factor):
+            """The cosines so far, and those examples' parts from the given postings."""
+            values = postings.astype(np.uint32).view(np.float32) * np.repeat(factor, held)
+            of = (postings >> np.uint64(32)).view(np.int64)
+            found = np.bincount(of, values, minlength=len(base)) + base
             if skip >= 0:
                 found[skip] = 0
             return found
 
-        # The best blocks first; then all whose bound reaches the k-th cosine found there.
-        wanted = np.zeros(self.blocks, bool)
-        wanted[np.argpartition(-bound, min(FIRST_BLOCKS, self.blocks) - 1)[:FIRST_BLOCKS]] = True
-        scores = scored(wanted)
-        enough = _least(scores[np.repeat(wanted, BLOCK)], k) - NEAR
-        more = (bound >= enough) & (bound > 0)
-        if (more & ~wanted).any():
-            scores = scored(more | wanted)
+        highest = base.reshape(-1, BLOCK).max(axis=1)
+        if highest.max() >= STANDS_OUT * np.median(highest):
+            scores = self._in_best_blocks(terms, weights, highest, k, summed)
+        else:
+            # No example stands out, so bounds would leave nearly all blocks.
+            bounds = zip(self.first[terms].tolist(), self.first[terms + 1].tolist())
+            lists = [self.postings[start:end] for start, end in bounds]
+            held = self.first[terms + 1] - self.first[terms]
+            scores = summed(np.concatenate([self.postings[:0], *lists]), held, weights)
+        # At least k examples reach the k-th largest of the blocks' best.
+        enough = _least(scores.reshape(-1, BLOCK).max(axis=1), k) - NEAR
         found = np.flatnonzero((scores > 0) & (scores >= enough))
         found = found[scores[found] >= _least(scores[found], k) - NEAR]
         # The dense part anew, in double precision.
@@ -181,17 +173,39 @@ class BlockMaxIndex:
         return found[order], np.minimum(near[order], 1.0)
 
 
+    def _in_best_blocks(self, terms, weights, highest, k: int, summed) -> np.ndarray:
+        """The cosines in all blocks that may hold one of the ``k`` nearest, 0 elsewhere.
+
+        ``highest`` is the largest dense part of each block.
+        """
+        lengths = self.first_cell[terms + 1] - self.first_cell[terms]
+        cells, each = _ranges(self.first_cell[terms], lengths), np.repeat(weights, lengths)
+        block = self.block[cells]
+        bound = highest + np.bincount(block, self.highest[cells] * each, minlength=self.blocks)
+
+        def scored(wanted):
+            chosen = wanted[block]
+            at, factor = cells[chosen], each[chosen]
+            held = self.starts[at + 1] - self.starts[at]
+            scores = summed(self.postings[_ranges(self.starts[at], held)], held, factor)
+            return scores * np.repeat(wanted, BLOCK)
+
+        # The best blocks first; then all whose bound reaches the k-th cosine found there.
+        wanted = np.zeros(self.blocks, bool)
+        wanted[np.argpartition(-bound, min(FIRST_BLOCKS, self.blocks) - 1)[:FIRST_BLOCKS]] = True
+        scores = scored(wanted)
+        more = (bound >= _least(scores[np.repeat(wanted, BLOCK)], k) - NEAR) & (bound > 0)
+        return scored(more | wanted) if (more & ~wanted).any() else scores
+
+
 def _least(scores: np.ndarray, k: int) -> float:
     """The ``k``-th largest of the scores."""
     return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
 
 
-def _counted_words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of a text's words, ascending, and how often each occurs."""
-    found = Counter(words(text))
-    hashes = np.fromiter(map(word_hash.__getitem__, found), np.uint64, len(found)).view(np.int64)
-    order = np.argsort(hashes)
-    return hashes[order], np.fromiter(found.values(), np.int64, len(found))[order]
+def _counted_words(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per text the hashes of its words, ascending, and how often each occurs."""
+    return [np.unique(hashes.view(np.int64), return_counts=True) for hashes in word_hashes(texts)]
 
 
 @dataclass
@@ -231,7 +245,7 @@ class Model:
         """Per text: neighbours, cosines and length by the given words; the other words' hashes and
         weights without their idf."""
         for at in range(0, len(texts), CHUNK):
-            counted = [_counted_words(text) for text in texts[at : at + CHUNK]]
+            counted = _counted_words(texts[at : at + CHUNK])
             vectors = [self.vector(*c) for c in counted]
             if self.index is not None:
                 bases = self.index.dense_parts([v[:2] for v in vectors])
@@ -280,7 +294,7 @@ def _class_sizes(rows: DataFrame) -> dict[int, int]:
 
 def _example_terms(batches):
     for batch in batches:
-        found = [_counted_words(text) for text in batch.column(2).to_pylist()]
+        found = _counted_words(batch.column(2).to_pylist())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -305,8 +319,7 @@ def _frequency_batches(batches):
 
     def settled():
         """What waits, each term with the number of its documents."""
-        hashes = np.fromiter(map(word_hash.__getitem__, waiting), np.uint64, len(waiting))
-        return np.unique(hashes.view(np.int64), return_counts=True)
+        return np.unique(np.concatenate(waiting), return_counts=True)
 
     def summed():
         return pa.RecordBatch.from_arrays([pa.array(x) for x in _added(parts)], names)
@@ -315,9 +328,8 @@ def _frequency_batches(batches):
         for at in range(0, len(batch), DOCS_AT_ONCE):
             texts = batch.column(0).slice(at, DOCS_AT_ONCE).to_pylist()
             count += len(texts)
-            for text in texts:
-                waiting += set(words(text))
-            if len(waiting) > WAITING:
+            waiting += [np.unique(hashes.view(np.int64)) for hashes in word_hashes(texts)]
+            if sum(map(len, waiting)) > WAITING:
                 parts.append(settled())
                 held += len(parts[-1][0])
                 waiting = []
@@ -431,7 +443,10 @@ def _fit(model: Model, ids, toxic, columns, counts, lengths, sizes) -> Model:
     with_terms = np.flatnonzero(lengths)
     if not len(with_terms):
         return model
-    weights = ((1 + np.log(counts)) * model.idf[columns]).astype(np.float32)
+    weights = counts.astype(np.float32)
+    np.log(weights, out=weights)
+    weights += 1
+    weights *= model.idf.astype(np.float32)[columns]
     starts = np.cumsum(lengths) - lengths
     held = np.bincount(columns, minlength=len(model.terms))
     # Examples that share their heaviest repeated term come next to each other, which tightens

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from test_corpus_operators import none, odd, odd_rows  # noqa: F401  (fixtures)
 
-from termloom.llm import language, merkle, prefix_trie
+from termloom.llm import common, language, merkle, prefix_trie
 from termloom.llm.common import running_before
 
 
@@ -273,10 +273,10 @@ def test_ngrams_match_plain_extraction(monkeypatch):
         "Hello, wörld! a bc 12x", "", "  ", "a", "12 34", "日本語 テ x-y", "İstanbul ΣΑΣ", "\ud800 lone", "z" * 50,
         "it's\n\nfine  _now_",
     ]
-    monkeypatch.setattr(language, "PIECE", 12)
+    monkeypatch.setattr(common, "PIECE", 12)
     found = [Counter() for _ in texts]
-    for rows, pieces in language._sub_batches(texts):
-        for buckets, of in language.ngrams(rows, pieces):
+    for rows, parts in common.sub_batches(texts):
+        for buckets, of in language.ngrams(rows, parts):
             assert (np.diff(of) >= 0).all()
             for b, row in zip(buckets.tolist(), of.tolist()):
                 found[row][b] += 1
@@ -287,6 +287,26 @@ def test_ngrams_match_plain_extraction(monkeypatch):
     assert found[8] and found[7]
 
 
+def test_word_hashes_tell_words_apart(monkeypatch):
+    monkeypatch.setattr(common, "PIECE", 30)
+    monkeypatch.setattr(common, "SUB_BATCH", 50)
+    rng = random.Random(4)
+    texts = [
+        " ".join("".join(rng.choices("abcüß日1_", k=rng.randint(1, 6))) for _ in range(rng.randint(0, 40)))
+        for _ in range(60)
+    ]
+    texts += ["", None, "--", "İx ΣΑΣ a_b", "Ab aB ab", "\ud800 x"]
+    hashes = common.word_hashes(texts)
+    words = [common.words(text) for text in texts]
+    assert [len(h) for h in hashes] == [len(w) for w in words]
+    known = defaultdict(set)
+    for own, found in zip(words, hashes):
+        for word, value in zip(own, found.tolist()):
+            known[word].add(value)
+    assert all(len(values) == 1 for values in known.values())
+    assert len(set.union(*known.values())) == len(known)
+
+
 def brute_language(train, text):
     counts, priors = defaultdict(Counter), Counter()
     for t, lang in train:
