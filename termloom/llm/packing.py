@@ -23,7 +23,7 @@ import functools
 import os
 import re
 import zlib
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,16 +48,18 @@ SUB_BATCH = 1 << 20
 CUTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 # Characters that classes of Python and of the tokenizer may judge apart, that its normaliser may
 # change, or that open its special strings.
-UNSURE_ASCII = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+UNSURE_NARROW = (b"<|", *(bytes([c]) for c in (*range(0x1C, 0x20), 0xB2, 0xB3, 0xB9, *range(0xBC, 0xBF))))
 UNSURE = re.compile(
     r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe\u0130\u0250-\u200f\u2028-\u202f\u205f-\U0010ffff]|<\|"
 )
 
 
 def unsure(text: str) -> bool:
-    if text.isascii():
-        return any(mark in text for mark in UNSURE_ASCII)
-    return UNSURE.search(text) is not None
+    try:
+        narrow = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return UNSURE.search(text) is not None
+    return any(mark in narrow for mark in UNSURE_NARROW)
 
 
 class WordIds:
@@ -95,8 +97,9 @@ class WordIds:
         new = wanted - self.memo.keys()
         if new:
             if len(self.memo) + len(new) > MEMO_CHUNKS:
-                self.memo.clear()
-                new = wanted
+                # What was met first is met most often.
+                self.memo = dict(islice(self.memo.items(), MEMO_CHUNKS // 2))
+                new = wanted - self.memo.keys()
             self._learn(new)
         ids = self.memo.__getitem__
         return [
