@@ -92,8 +92,7 @@ class BlockMaxIndex:
     """Cosine search over unit vectors given as (example, term, weight) triples."""
 
     def __init__(self, examples: int, terms: int, rows, columns, weights):
-        self.examples, self.blocks = examples, max(1, -(-examples // BLOCK))
-        rows, columns = np.asarray(rows, np.int32), np.asarray(columns, np.int32)
+        rows, columns = np.asarray(rows), np.asarray(columns, np.int32)
         weights = np.asarray(weights, np.float32)
         held = np.bincount(columns, minlength=terms)
         most = np.argsort(-held, kind="stable")[:DENSE]
@@ -101,24 +100,55 @@ class BlockMaxIndex:
         # A term's column in the dense matrix, or -1.
         self.slot = np.full(terms, -1, np.int32)
         self.slot[most] = np.arange(len(most))
-        self.dense = np.zeros((self.blocks * BLOCK, len(most)), np.float32)
+        self.examples = examples
         slots = self.slot[columns]
-        np.add.at(self.dense, (rows[slots >= 0], slots[slots >= 0]), weights[slots >= 0])
-        rows, columns, weights = (x[slots < 0] for x in (rows, columns, weights))
+        common = slots >= 0
+        self._set_dense(rows[common], slots[common], weights[common], len(most))
+        rare = ~common
+        del slots, common
+        rows, columns, weights = rows[rare], columns[rare], weights[rare]
         order = np.lexsort((rows, columns))
-        rows, columns, weights = rows[order], columns[order], weights[order]
+        self.first = np.searchsorted(columns[order], np.arange(terms + 1)).astype(np.int32)
+        self._set_postings(rows[order], weights[order])
+
+    def _set_dense(self, rows, slots, weights, width: int) -> None:
+        self.blocks = max(1, -(-self.examples // BLOCK))
+        self.dense = np.zeros((self.blocks * BLOCK, width), np.float32)
+        np.add.at(self.dense, (rows, slots), weights)
+
+    def _set_postings(self, rows, weights) -> None:
         # An example in the upper half, its weight's bits in the lower.
-        self.postings = rows.astype(np.uint64) << np.uint64(32) | weights.view(np.uint32)
-        self.first = np.searchsorted(columns, np.arange(terms + 1)).astype(np.int32)
+        self.postings = rows.astype(np.uint64)
+        self.postings <<= np.uint64(32)
+        self.postings |= weights.view(np.uint32)
         block = (rows // BLOCK).astype(np.min_scalar_type(self.blocks))
         # Only the cells that have postings: their first posting, block and largest weight.
-        begins = np.ones(len(columns), bool)
-        begins[1:] = (columns[1:] != columns[:-1]) | (block[1:] != block[:-1])
+        begins = np.ones(len(rows), bool)
+        begins[1:] = block[1:] != block[:-1]
+        begins[self.first[:-1][self.first[:-1] < len(rows)]] = True
         starts = np.flatnonzero(begins).astype(np.int32)
-        self.starts = np.append(starts, np.int32(len(columns)))
+        self.starts = np.append(starts, np.int32(len(rows)))
         self.block = block[starts]
         self.highest = np.maximum.reduceat(weights, starts) if len(starts) else weights
-        self.first_cell = np.searchsorted(columns[starts], np.arange(terms + 1)).astype(np.int32)
+        self.first_cell = np.searchsorted(starts, self.first).astype(np.int32)
+
+    def __getstate__(self):
+        """The postings alone; everything else is derived from them where they arrive."""
+        rows, slots = np.nonzero(self.dense)
+        small = np.min_scalar_type(self.examples)
+        return (
+            (self.examples, self.slot, self.first, self.dense.shape[1]),
+            (rows.astype(small), slots.astype(np.int16), self.dense[rows, slots]),
+            (
+                (self.postings >> np.uint64(32)).astype(small),
+                self.postings.astype(np.uint32).view(np.float32),
+            ),
+        )
+
+    def __setstate__(self, state):
+        (self.examples, self.slot, self.first, width), dense, postings = state
+        self._set_dense(*dense, width)
+        self._set_postings(*postings)
 
     def _dense_query(self, terms, weights) -> np.ndarray:
         query = np.zeros(self.dense.shape[1])
@@ -409,7 +439,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     lengths = np.diff(ends, prepend=0)
     idf = _idf(df, count) * _telling(len(terms), toxic, columns, lengths)
     model = replace(none, terms=terms, idf=idf, count=count, frequencies=frequencies)
-    return _fit(model, ids, toxic, columns, counts, lengths, sizes)
+    parts = [columns, counts]
+    del columns, counts
+    return _fit(model, ids, toxic, parts, lengths, sizes)
 
 
 def _flat(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -433,8 +465,11 @@ def _telling(size: int, toxic, columns, lengths) -> np.ndarray:
     return np.sqrt(np.maximum(1, chi2 / LIKELY_CHI2))
 
 
-def _fit(model: Model, ids, toxic, columns, counts, lengths, sizes) -> Model:
-    """``columns`` and ``counts`` are the terms of all examples, ``lengths`` how many each has."""
+def _fit(model: Model, ids, toxic, parts: list, lengths, sizes) -> Model:
+    """``parts`` has the terms and counts of all examples and is emptied; ``lengths`` says how many
+    each has."""
+    columns, counts = parts
+    parts.clear()
     weight = {k: sizes.get(k, 0) / max(1, int((toxic == k).sum())) for k in (0, 1)}
     silent = toxic[lengths == 0]
     toxic_silent = weight[1] * float((silent == 1).sum())
@@ -447,6 +482,7 @@ def _fit(model: Model, ids, toxic, columns, counts, lengths, sizes) -> Model:
     np.log(weights, out=weights)
     weights += 1
     weights *= model.idf.astype(np.float32)[columns]
+    del counts
     starts = np.cumsum(lengths) - lengths
     held = np.bincount(columns, minlength=len(model.terms))
     # Examples that share their heaviest repeated term come next to each other, which tightens
@@ -462,7 +498,7 @@ def _fit(model: Model, ids, toxic, columns, counts, lengths, sizes) -> Model:
     del at
     lengths = lengths[order]
     ends = np.cumsum(lengths)
-    rows = np.repeat(np.arange(len(order), dtype=np.int32), lengths)
+    rows = np.repeat(np.arange(len(order), dtype=np.min_scalar_type(len(order))), lengths)
     model.index = BlockMaxIndex(len(order), len(model.terms), rows, columns, weights)
     del rows
     model.ids, model.toxic = ids[order], toxic[order].astype(float)
