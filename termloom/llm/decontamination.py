@@ -1,15 +1,17 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is the hash of five words at the positions a mask leaves open; the other positions in its
-span may hold anything, so a substituted word costs some seeds and not all. Every position of
-every document gives one seed per mask, which is looked up among the benchmark's seeds. A hit
+A seed is the hash of the words at the positions a mask leaves open, five or, for items of under
+``LONG`` words, four; the other positions in its span may hold anything, so a substituted word
+costs some seeds and not all. Every position of every document gives one seed per mask, which is
+looked up among the benchmark's seeds. A hit
 fixes how the document lies along the item; word by word comparison along that diagonal must
 then find a window of ``WINDOW`` words (the whole item if it is shorter) of which ``AGREEING``
 are equal.
 
 The benchmark's seeds are broadcast in blocks of items of a measured size, so a benchmark of any
-size works, one pass per block. Documents never move: words, seeds, look-up and comparison
-are one stage of generated code, and only confirmed overlaps are grouped.
+size works, one pass per block. Documents never move: words are hashed once a document, and
+seeds, look-up and comparison are one stage of generated code; only confirmed overlaps are grouped.
+What is found for an item does not depend on the other items.
 
 Nulls and repeats: a null text is empty. Items of fewer than five words are too short for
 evidence and are ignored. Words are lowercased runs of letters and digits. Repeated rows are
@@ -18,15 +20,20 @@ judged alike, each by itself; a null id is a value like others. Extra columns pl
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ROW, located, text_column, without
+from termloom.llm.common import ROW, located, once, text_column, without
 
-# Words looked at are marked 1.
+# Words looked at are marked 1. With these an item of LONG words or more is found wherever
+# AGREEING of a window agree.
 MASKS = ("1101011", "1011101", "11100101")
-# For items too short for the masks above.
-SHORT_MASK = "11111"
+LONG = 11
+# For shorter items, down to LEAST words; any one substitution (two in ten words) is tolerated.
+SHORT_MASKS = ("1111", "10111", "11011", "11101")
+LEAST = 5
 WINDOW = 13
 AGREEING = 0.8
 # Seeds of one broadcast block, of at most about 100 bytes each.
@@ -38,21 +45,30 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1)
 
 
-def _seed(number: int, mask: str, array: Column, at: Column) -> Column:
-    open_at = [i for i, c in enumerate(mask) if c == "1"]
-    seed = F.xxhash64(F.lit(number), *(F.get(array, at + i) for i in open_at))
-    return F.when(at + len(mask) <= F.size(array), seed)
+def hashed(array: Column) -> Column:
+    return F.transform(array, lambda word: F.xxhash64(word))
+
 
+def _rotated(value: Column, bits: int) -> Column:
+    if not bits:
+        return value
+    return F.shiftleft(value, bits).bitwiseOR(F.shiftrightunsigned(value, 64 - bits))
 
-def _seeds(masks: tuple[str, ...], array: Column, at: Column) -> Column:
-    return F.array(*(_seed(len(m) * 8 + i, m, array, at) for i, m in enumerate(masks)))
+
+def seed(mask: str, at: Column) -> Column:
+    """The seed of ``hashes`` at a position; null if the mask reaches beyond the last word."""
+    value = None
+    for number, i in enumerate(i for i, c in enumerate(mask) if c == "1"):
+        word = _rotated(F.get("hashes", at + i), 13 * number)
+        value = word if value is None else value.bitwiseXOR(word)
+    return value
 
 
 def items(benchmark: DataFrame) -> DataFrame:
     """``item_id``, ``item_words`` and a key of its own for each different item."""
     trimmed = F.array_remove(words(text_column()), "")
     rows = benchmark.select("item_id", trimmed.alias("item_words"))
-    rows = rows.filter(F.size("item_words") >= len(SHORT_MASK)).distinct()
+    rows = rows.filter(F.size("item_words") >= LEAST).distinct()
     return rows.withColumn("item", F.xxhash64("item_id", F.concat_ws(" ", "item_words")))
 
 
@@ -67,22 +83,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _overlaps(placed: DataFrame, benchmark: DataFrame) -> DataFrame:
     all_items = items(benchmark)
-    longest = max(len(m) for m in MASKS)
-    counted = all_items.agg(
-        F.coalesce(F.sum(F.size("item_words")), F.lit(0)), F.min(F.size("item_words"))
-    ).first()
-    masks = MASKS if (counted[1] or longest) >= longest else (*MASKS, SHORT_MASK)
-    blocks = -(-counted[0] * len(masks) // BLOCK_SEEDS) or 1
-    array = F.col("words")
-    read = placed.select(F.col("doc_id").cast("long"), *ROW, words(text_column()).alias("words"))
-    seeds = read.select("*", F.posexplode("words").alias("at", "word")).select(
-        "doc_id", *ROW, "words", "at", F.explode(_seeds(masks, array, F.col("at"))).alias("seed")
-    )
-    found = None
-    for block in range(blocks):
-        own = all_items.filter(F.pmod("item", F.lit(blocks)) == block)
-        part = _confirmed(seeds, own, masks)
-        found = part if found is None else found.unionByName(part)
+    array = once(words(text_column())).alias("words")
+    read = placed.select(F.col("doc_id").cast("long"), *ROW, array)
+    read = read.select("*", hashed(F.col("words")).alias("hashes"))
+    read = read.select("*", F.posexplode("hashes").alias("at", "hash"))
+    size = F.size("item_words")
+    parts = []
+    for masks, own in ((MASKS, all_items.filter(size >= LONG)), (SHORT_MASKS, all_items.filter(size < LONG))):
+        total = own.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+        blocks = -(-total * len(masks) // BLOCK_SEEDS)
+        # Long items are looked for even if there are none, so that there is a result.
+        for block in range(max(blocks, masks is MASKS)):
+            parts.append(_confirmed(read, own.filter(F.pmod("item", F.lit(max(blocks, 1))) == block), masks))
+    found = functools.reduce(DataFrame.unionByName, parts)
     best = F.max(F.struct("agreeing", "covered", F.col("start")))
     return (
         found.groupBy("doc_id", *ROW, "item_id")
@@ -91,18 +104,26 @@ def _overlaps(placed: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _confirmed(seeds: DataFrame, own: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    item_words = F.col("item_words")
-    known = (
-        own.select("item", "item_words", F.posexplode("item_words").alias("item_at", "word"))
-        .select("item", "item_at", F.explode(_seeds(masks, item_words, F.col("item_at"))).alias("seed"))
-        .filter("seed is not null")
+def _confirmed(read: DataFrame, own: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    known = own.select("item", hashed(F.col("item_words")).alias("hashes"))
+    known = known.select("item", "hashes", F.posexplode("hashes").alias("item_at", "hash"))
+    looked, places = read, []
+    for number, mask in enumerate(masks):
+        name, place = f"seed{number}", f"places{number}"
+        seeds = known.select(seed(mask, F.col("item_at")).alias(name), F.struct("item", "item_at").alias("place"))
+        listed = seeds.filter(F.col(name).isNotNull()).groupBy(name).agg(F.collect_list("place").alias(place))
+        looked = looked.withColumn(name, seed(mask, F.col("at"))).join(F.broadcast(listed), name, "left")
+        places.append(place)
+    hit = functools.reduce(Column.__or__, (F.col(place).isNotNull() for place in places))
+    none = F.array().cast("array<struct<item: bigint, item_at: int>>")
+    hits = looked.filter(hit).select(
+        "doc_id", *ROW, "words", "at", F.inline(F.concat(*(F.coalesce(F.col(p), none) for p in places)))
     )
-    hits = seeds.join(F.broadcast(known), "seed")
     hits = hits.withColumn("start", F.col("at") - F.col("item_at"))
     hits = hits.join(F.broadcast(own), "item")
     equal = F.transform(
-        item_words, lambda word, i: F.coalesce(F.get("words", F.col("start") + i) == word, F.lit(False))
+        F.col("item_words"),
+        lambda word, i: F.coalesce(F.get("words", F.col("start") + i) == word, F.lit(False)),
     )
     window = F.least(F.lit(WINDOW), F.size("equal"))
     counts = F.transform(

@@ -23,7 +23,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ROW, located, text_column
+from termloom.llm.common import ROW, located, once, text_column
 from termloom.plans.joins import fits_broadcast
 
 # Lines that state a copyright and its holder, or only name a licence, in a lower-cased
@@ -353,11 +353,6 @@ def digest(canonical: Column) -> Column:
     return F.when(canonical != "", F.sha2(canonical.cast("binary"), 256))
 
 
-def once(column: Column) -> Column:
-    """A column that later steps may use repeatedly without its being computed again."""
-    return F.explode(F.array(column))
-
-
 def known_licences(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([*KNOWN, *notices()], "licence_id string, text string")
 

@@ -1,6 +1,9 @@
 """The corpus operators on small tables, against brute force, and on odd rows."""
 
 import hashlib
+import itertools
+import math
+import pickle
 import random
 import re
 import zlib
@@ -103,6 +106,38 @@ def test_decontamination_tolerates_substitutions(spark):
     assert starts[1] == 50 and starts[5] == -10
 
 
+@pytest.mark.parametrize("size", range(decontamination.LEAST, decontamination.WINDOW + 1))
+def test_masks_meet_every_accepted_substitution(size):
+    masks = decontamination.MASKS if size >= decontamination.LONG else decontamination.SHORT_MASKS
+    seeds = [
+        {at + i for i, c in enumerate(mask) if c == "1"} for mask in masks for at in range(size - len(mask) + 1)
+    ]
+    substituted = size - math.ceil(decontamination.AGREEING * size)
+    for lost in itertools.combinations(range(size), substituted):
+        assert any(not seed & set(lost) for seed in seeds), lost
+
+
+def test_decontamination_of_short_items(spark):
+    rng = random.Random(8)
+    words = vocabulary(rng, 2000)
+    bench = [(i, " ".join(rng.choices(words, k=5 + i % 6))) for i in range(12)]
+    docs, want = [], set()
+    for i, text in bench:
+        for j in range(len(text.split())):
+            changed = text.split()
+            changed[j] = "zzz"
+            docs.append((100 * i + j, f"{' '.join(rng.choices(words, k=5))} {' '.join(changed)} x"))
+            want.add((100 * i + j, i))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    schema = "item_id long, text string"
+    found = decontamination.overlaps(frame, spark.createDataFrame(bench, schema)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    # A long item beside them changes nothing.
+    more = [*bench, (99, " ".join(rng.choices(words, k=30)))]
+    found = decontamination.overlaps(frame, spark.createDataFrame(more, schema)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+
+
 def test_decontamination_blocks_and_odd_rows(spark, odd, none, monkeypatch):
     bench = spark.createDataFrame([(i, f"{i} alpha beta gamma delta epsilon zeta eta theta") for i in range(30)], "item_id long, text string")
     docs = spark.createDataFrame([(i, f"say {i} alpha beta gamma delta epsilon zeta eta theta") for i in range(30)], "doc_id long, text string")
@@ -450,6 +485,7 @@ def test_block_max_search_is_exact(monkeypatch, stands_out):
     dense /= np.maximum(np.sqrt((dense**2).sum(axis=1, keepdims=True)), 1e-9)
     rows, columns = np.nonzero(dense)
     index = toxicity.BlockMaxIndex(500, 60, rows, columns, dense[rows, columns])
+    index = pickle.loads(pickle.dumps(index))
     for q in range(40):
         terms = np.flatnonzero(dense[q])
         if len(terms):
