@@ -201,6 +201,13 @@ def recent_events(spark, sf):
     return lookup.by_recency(events, 20, "ts", "event_id").select("event_id", "ts", "event_type")
 
 
+@query
+def recent_events_cut(spark, sf):
+    """A listing too long to be merged in one task."""
+    events = table(spark, sf, "events")
+    return lookup.by_recency(events, 5000, "ts", "event_id").select("event_id", "ts", "event_type")
+
+
 @query
 def first_documents(spark, sf):
     return lookup.by_id(table(spark, sf, "documents").select("doc_id", "lang"), 5, "doc_id")

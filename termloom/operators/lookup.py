@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.plans.joins import attach, fits_broadcast
-from termloom.plans.numbering import first_by_id
+from termloom.plans.numbering import first_by_id, newest
 
 
 def document_by_id(documents: DataFrame, doc_id, id_column: str = "id") -> DataFrame:
@@ -57,7 +57,7 @@ def by_recency(
     documents: DataFrame, limit: int, created: str = "created_at", id_column: str = "id"
 ) -> DataFrame:
     """The newest documents first, ties by the higher id."""
-    return documents.orderBy(F.desc(created), F.desc(id_column)).limit(limit)
+    return newest(documents, limit, created, id_column)
 
 
 def by_id(documents: DataFrame, limit: int, id_column: str = "id") -> DataFrame:

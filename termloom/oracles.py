@@ -186,6 +186,8 @@ WHERE term IN ('the', 'der') AND doc_id IN (SELECT doc_id FROM labels)""",
 SELECT l.doc_id, quality, text FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id""",
     "recent_events": """
 SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 20""",
+    "recent_events_cut": """
+SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 5000""",
     "first_documents": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 5",
     "search_and": f"{WITH} {having_all(['the', 'of'], 2)}",
     "search_or": f"{WITH} SELECT DISTINCT doc_id FROM postings WHERE term IN ('the', 'of')",

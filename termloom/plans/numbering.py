@@ -53,6 +53,30 @@ def first_by_id(rows: DataFrame, limit: int, id_column: str = "doc_id") -> DataF
     return _cut(grouped, "_group", id_column).select(*rows.columns).orderBy(id_column)
 
 
+def newest(rows: DataFrame, limit: int, time: str, id_column: str) -> DataFrame:
+    """The ``limit`` rows with the latest ``time``, ties by the higher id; rows without one come last.
+
+    A large limit is cut by counts per hour: later hours are kept whole, and only the hour in
+    which the limit falls is numbered, over range partitions.
+    """
+    order = [F.desc(time), F.desc(id_column)]
+    if limit <= GROUP_LIMIT:
+        return rows.orderBy(*order).limit(limit)
+    hour = F.date_trunc("hour", F.col(time))
+    counts = rows.groupBy(hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per hour.
+    running = F.sum("n").over(Window.orderBy(F.desc("hour"))) - F.col("n")
+    begun = counts.withColumn("before", running).filter(F.col("before") < limit)
+    last = begun.orderBy(F.desc("before")).first()
+    if last is None:
+        return rows.limit(0)
+    in_last = hour.isNull() if last["hour"] is None else hour == last["hour"]
+    later = hour.isNotNull() if last["hour"] is None else hour > last["hour"]
+    ranked = with_dense_ids(rows.filter(in_last), order_by=order, id_column="_rank")
+    cut = ranked.filter(F.col("_rank") <= limit - last["before"]).drop("_rank")
+    return rows.filter(later).unionByName(cut).orderBy(*order)
+
+
 def first_per_group(
     rows: DataFrame, group: str, limit: str, largest_limit: int, id_column: str = "doc_id"
 ) -> DataFrame:

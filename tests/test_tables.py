@@ -1,6 +1,7 @@
 import json
 import math
 import random
+from datetime import datetime, timedelta
 
 import pyarrow.parquet as pq
 import pytest
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 
 from termloom import schemas
 from termloom.functions.text import TokenOptions
-from termloom.operators import latency, quality
+from termloom.operators import latency, lookup, quality
 from termloom.operators.postings import build_postings, to_blocks
+from termloom.plans import numbering
 from termloom.plans.joins import BROADCAST_BYTES
 from termloom.sources import documents as store
 from termloom.sources import generator, index_json, index_store
@@ -363,3 +365,15 @@ def test_latency_summary(spark, broadcast_bytes):
         assert (row["min"], row["max"]) == (min(values), max(values))
         for p in (1, 50, 95, 100):
             assert row[f"p{p}"] == nearest_rank(values, p), (row["term"], p)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 4, 7, 9, 30, 500])
+def test_recency_cut_by_hours(spark, monkeypatch, limit):
+    monkeypatch.setattr(numbering, "GROUP_LIMIT", 2)
+    base = datetime(2024, 5, 1, 12)
+    rows = [(i, base + timedelta(minutes=(i * 37) % 400)) for i in range(30)]
+    rows += [(100 + i, base) for i in range(8)] + [(200 + i, None) for i in range(5)]
+    frame = spark.createDataFrame(rows, "id long, created_at timestamp")
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or base, r[0]), reverse=True)[:limit]
+    assert [tuple(r) for r in lookup.by_recency(frame, limit).collect()] == want
+    assert lookup.by_recency(frame.limit(0), limit).collect() == []
