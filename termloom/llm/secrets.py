@@ -9,8 +9,9 @@ at most ``REACH`` characters away, and a weak part is reported only if one of th
 complements it: identifier with secret, endpoint with secret or identifier.
 A weak part that overlaps a strong one is not reported.
 
-Parts do not overlap within a kind and have a least length, so a stretch holds a bounded number of
-them and the join grows with the text. Positions come from the lengths of the gaps and
+Parts do not overlap within a kind and have a least length but no greatest, so a stretch holds a
+bounded number of them, a text's parts lie in as many stretches as it has, and the join grows with
+the text. Positions come from the lengths of the gaps and
 matches, summed per document and kind. Only DataFrame operations; no Python on the executors.
 
 Nulls and repeats: a null text is empty; a row without a finding has zero counts and empty
@@ -38,9 +39,9 @@ STRONG = {
     "hex": rf"[0-9a-f]{{{HEX_LENGTH},}}",
 }
 WEAK = {
-    "weak_id": r"""(?i:\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,64}""",
-    "weak_secret": r"\b(?=[A-Za-z/+]*[0-9])(?=[0-9A-Z/+]*[a-z])(?=[0-9a-z/+]*[A-Z])[A-Za-z0-9/+]{32,88}\b",
-    "endpoint": r"""\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]{3,256}""",
+    "weak_id": r"""(?i:\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""",
+    "weak_secret": r"(?<![A-Za-z0-9/+_-])(?=[A-Za-z/+_-]*[0-9])(?=[0-9A-Z/+_-]*[a-z])(?=[0-9a-z/+_-]*[A-Z])[A-Za-z0-9/+_-]{32,}+",
+    "endpoint": r"""\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]{3,}""",
 }
 KINDS = (*STRONG, *WEAK)
 # What a weak part needs nearby, by kind.

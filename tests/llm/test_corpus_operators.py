@@ -32,6 +32,7 @@ from termloom.llm import (
 from termloom.llm.common import word_hashes
 from termloom.llm.components import components
 
+LONG_KEY = "aB3_-" * 30
 LICENCE_FILES = Path("/usr/share/common-licenses")
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars int, "
@@ -439,6 +440,7 @@ def test_secrets_base_spans_and_links(spark, odd, none, texts):
         (1001, f"see {weak} for more"),
         (1002, f"{weak} " + "far " * 100 + "password=hunter22"),
         (1003, "client_id=abc123 key aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0eF " + "x"),
+        (1004, f"login: bob1 {LONG_KEY} and {weak}/{'p' * 400} " + "so " * 200),
     ]
     found = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(found) == len(rows)
@@ -453,6 +455,9 @@ def test_secrets_base_spans_and_links(spark, odd, none, texts):
     assert kinds(1000) == ["weak_id", "assign", "endpoint"]
     assert found[1001].spans == "" and kinds(1002) == ["assign"]
     assert sorted(kinds(1003)) == ["weak_id", "weak_secret"]
+    # However long, a part is whole.
+    end = 12 + len(LONG_KEY)
+    assert found[1004].spans == f"weak_id:0:11,weak_secret:12:{end},endpoint:{end + 5}:{end + 406 + len(weak)}"
     assert secrets.scan(odd).count() == len(texts)
     assert secrets.scan(none).count() == 0
 
