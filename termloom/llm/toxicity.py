@@ -31,11 +31,13 @@ if there are none). Repeated rows are scored alike.
 
 from __future__ import annotations
 
+from copy import copy
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +62,8 @@ STANDS_OUT = 2.0
 # More than the error of single precision in a cosine.
 NEAR = 1e-5
 THRESHOLD = 0.7
+# Examples that one task compares with the others.
+EXAMPLES_AT_ONCE = 2048
 # Documents whose words a task takes up at a time, words it sorts at once, and sorted ones it holds
 # before it hands them on.
 DOCS_AT_ONCE = 256
@@ -100,23 +104,39 @@ class BlockMaxIndex:
         # A term's column in the dense matrix, or -1.
         self.slot = np.full(terms, -1, np.int32)
         self.slot[most] = np.arange(len(most))
-        self.examples = examples
+        self.examples, self.blocks = examples, max(1, -(-examples // BLOCK))
+        self.width = len(most)
+        small = np.min_scalar_type(examples)
         slots = self.slot[columns]
         common = slots >= 0
-        self._set_dense(rows[common], slots[common], weights[common], len(most))
+        # What is sent: the dense terms' triples, and postings by term and example.
+        self.common = rows[common].astype(small), slots[common].astype(np.int16), weights[common]
         rare = ~common
         del slots, common
         rows, columns, weights = rows[rare], columns[rare], weights[rare]
         order = np.lexsort((rows, columns))
         self.first = np.searchsorted(columns[order], np.arange(terms + 1)).astype(np.int32)
-        self._set_postings(rows[order], weights[order])
-
-    def _set_dense(self, rows, slots, weights, width: int) -> None:
-        self.blocks = max(1, -(-self.examples // BLOCK))
-        self.dense = np.zeros((self.blocks * BLOCK, width), np.float32)
-        np.add.at(self.dense, (rows, slots), weights)
-
-    def _set_postings(self, rows, weights) -> None:
+        self.rare = rows[order].astype(small), weights[order]
+        self.dense = None
+
+    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms and weights of the examples, one after another, and where each starts; before any search."""
+        rows, slots, weights = self.common
+        term = np.flatnonzero(self.slot >= 0)
+        term = term[np.argsort(self.slot[term])].astype(np.int32)
+        others = np.repeat(np.arange(len(self.slot), dtype=np.int32), np.diff(self.first))
+        rows = np.concatenate([rows, self.rare[0]])
+        terms, weights = np.concatenate([term[slots], others]), np.concatenate([weights, self.rare[1]])
+        order = np.lexsort((terms, rows))
+        return terms[order], weights[order], np.searchsorted(rows[order], np.arange(self.examples + 1))
+
+    def _ready(self) -> None:
+        """Builds what searches use from what was sent."""
+        if self.dense is not None:
+            return
+        rows, weights = self.rare
+        self.dense = np.zeros((self.blocks * BLOCK, self.width), np.float32)
+        np.add.at(self.dense, self.common[:2], self.common[2])
         # An example in the upper half, its weight's bits in the lower.
         self.postings = rows.astype(np.uint64)
         self.postings <<= np.uint64(32)
@@ -131,33 +151,17 @@ class BlockMaxIndex:
         self.block = block[starts]
         self.highest = np.maximum.reduceat(weights, starts) if len(starts) else weights
         self.first_cell = np.searchsorted(starts, self.first).astype(np.int32)
-
-    def __getstate__(self):
-        """The postings alone; everything else is derived from them where they arrive."""
-        rows, slots = np.nonzero(self.dense)
-        small = np.min_scalar_type(self.examples)
-        return (
-            (self.examples, self.slot, self.first, self.dense.shape[1]),
-            (rows.astype(small), slots.astype(np.int16), self.dense[rows, slots]),
-            (
-                (self.postings >> np.uint64(32)).astype(small),
-                self.postings.astype(np.uint32).view(np.float32),
-            ),
-        )
-
-    def __setstate__(self, state):
-        (self.examples, self.slot, self.first, width), dense, postings = state
-        self._set_dense(*dense, width)
-        self._set_postings(*postings)
+        self.common = self.rare = None
 
     def _dense_query(self, terms, weights) -> np.ndarray:
-        query = np.zeros(self.dense.shape[1])
+        query = np.zeros(self.width)
         slots = self.slot[terms]
         query[slots[slots >= 0]] = weights[slots >= 0]
         return query
 
     def dense_parts(self, queries) -> np.ndarray:
         """The part of each query's cosines that comes from the dense terms, within ``NEAR``."""
+        self._ready()
         matrix = np.array([self._dense_query(*query) for query in queries], np.float32)
         return matrix @ self.dense.T
 
@@ -252,6 +256,8 @@ class Model:
     frequencies: DataFrame | None = None
     slope: float = 1.0
     offset: float = 0.0
+    # The model as sent to the tasks, still without slope and offset.
+    shared: Broadcast | None = None
 
     def vector(self, hashes: np.ndarray, counts: np.ndarray):
         """Terms and unit weights of the given words, their length, and which words are given."""
@@ -465,6 +471,40 @@ def _telling(size: int, toxic, columns, lengths) -> np.ndarray:
     return np.sqrt(np.maximum(1, chi2 / LIKELY_CHI2))
 
 
+def _shared(model: Model) -> Broadcast:
+    session = SparkSession.getActiveSession()
+    return session.sparkContext.broadcast(replace(model, frequencies=None))
+
+
+def _example_votes(model: Model, examples: int) -> DataFrame:
+    """The raw vote that each example gets from the others."""
+    shared = model.shared
+
+    def run(batches):
+        model = shared.value
+        # The index as it was sent; one that is in use has no vectors any more.
+        index = copy(model.index)
+        terms, weights, starts = index.vectors()
+        for batch in batches:
+            wanted = batch.column(0).to_pylist()
+            for at in range(0, len(wanted), CHUNK):
+                own = [slice(starts[e], starts[e + 1]) for e in wanted[at : at + CHUNK]]
+                vectors = [(terms[o], weights[o]) for o in own]
+                found, votes = [], []
+                for e, vector, base in zip(wanted[at:], vectors, index.dense_parts(vectors)):
+                    near, cosines = index.nearest(*vector, NEIGHBOURS, e, base)
+                    if len(near):
+                        found.append(e)
+                        votes.append(model.raw(near, cosines))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int64()), pa.array(votes, pa.float64())], ["example", "vote"]
+                )
+
+    tasks = -(-examples // EXAMPLES_AT_ONCE)
+    ids = SparkSession.getActiveSession().range(0, examples, 1, tasks)
+    return ids.mapInArrow(run, "example long, vote double")
+
+
 def _fit(model: Model, ids, toxic, parts: list, lengths, sizes) -> Model:
     """``parts`` has the terms and counts of all examples and is emptied; ``lengths`` says how many
     each has."""
@@ -497,19 +537,14 @@ def _fit(model: Model, ids, toxic, parts: list, lengths, sizes) -> Model:
     columns, weights = columns[at], weights[at]
     del at
     lengths = lengths[order]
-    ends = np.cumsum(lengths)
     rows = np.repeat(np.arange(len(order), dtype=np.min_scalar_type(len(order))), lengths)
     model.index = BlockMaxIndex(len(order), len(model.terms), rows, columns, weights)
-    del rows
+    del rows, columns, weights
     model.ids, model.toxic = ids[order], toxic[order].astype(float)
+    model.shared = _shared(model)
     votes = np.full(len(order), model.share)
-    for at in range(0, len(order), CHUNK):
-        own = [slice(end - n, end) for end, n in zip(ends[at : at + CHUNK], lengths[at : at + CHUNK])]
-        vectors = [(columns[o], weights[o]) for o in own]
-        for e, base in enumerate(model.index.dense_parts(vectors), at):
-            near, cosines = model.index.nearest(*vectors[e - at], NEIGHBOURS, e, base)
-            if len(near):
-                votes[e] = model.raw(near, cosines)
+    found = _example_votes(model, len(order)).toArrow()
+    votes[found.column("example").to_numpy()] = found.column("vote").to_numpy()
     model.slope, model.offset = _logistic(
         votes, model.toxic, np.where(model.toxic > 0, weight[1], weight[0])
     )
@@ -529,8 +564,7 @@ def _lists(arrays, kind) -> pa.ListArray:
 
 def _votes(placed: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, place, ``score`` and ``evidence`` of every row."""
-    sent = replace(model, frequencies=None)
-    shared = placed.sparkSession.sparkContext.broadcast(sent)
+    shared, slope, offset = model.shared or _shared(model), model.slope, model.offset
 
     def parts(batches):
         for batch in batches:
@@ -567,7 +601,7 @@ def _votes(placed: DataFrame, model: Model) -> DataFrame:
         found = found.join(rest, list(ROW), "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
 
     def vote(batches):
-        model = shared.value
+        model = replace(shared.value, slope=slope, offset=offset)
         for batch in batches:
             near, cosines, scores = [], [], []
             for n, c, length, rest in zip(*(batch.column(i).to_pylist() for i in range(3, 7))):
