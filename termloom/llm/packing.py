@@ -41,6 +41,8 @@ LOCAL_PIECES = 1 << 16
 GROUP_BINS = 50_000
 LEAST_GAIN = 0.01
 MEMO_CHUNKS = 300_000
+# Chunks that a worker keeps between tasks, whatever they belong to.
+KEPT_CHUNKS = 50_000
 # Characters of text handled between look-ups of new words.
 SUB_BATCH = 1 << 20
 
@@ -78,7 +80,7 @@ class WordIds:
 
     def _learn(self, chunks: set[str]) -> None:
         parts = {chunk: CUTS.findall(chunk) for chunk in chunks}
-        cuts = sorted(set(chain.from_iterable(parts.values())) - self.memo.keys())
+        cuts = sorted(set(chain.from_iterable(parts.values())).difference(self.memo))
         lines = [" ".join(cuts[i : i + 256]) for i in range(0, len(cuts), 256)]
         encoded = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in encoded), np.uint32)
@@ -91,15 +93,19 @@ class WordIds:
             if len(found) > 1:
                 self.memo[chunk] = b"".join(map(self.memo.__getitem__, found))
 
+    def forget(self, limit: int) -> None:
+        """Keeps what was met first, which is met most often."""
+        if len(self.memo) > limit:
+            self.memo = dict(islice(self.memo.items(), limit))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [None if unsure(t) else t.lower().split() for t in texts]
         wanted = set(chain.from_iterable(c for c in chunks if c))
-        new = wanted - self.memo.keys()
+        new = wanted.difference(self.memo)
         if new:
             if len(self.memo) + len(new) > MEMO_CHUNKS:
-                # What was met first is met most often.
-                self.memo = dict(islice(self.memo.items(), MEMO_CHUNKS // 2))
-                new = wanted - self.memo.keys()
+                self.forget(MEMO_CHUNKS // 2)
+                new = wanted.difference(self.memo)
             self._learn(new)
         ids = self.memo.__getitem__
         return [
@@ -187,6 +193,7 @@ def _pieces(definition):
                         if len(rows) == LOCAL_PIECES:
                             yield packed()
                             rows, chunk = [], chunk + 1
+        encoder.forget(KEPT_CHUNKS)
         if rows:
             yield packed()
 
