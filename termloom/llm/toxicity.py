@@ -31,7 +31,6 @@ if there are none). Repeated rows are scored alike.
 
 from __future__ import annotations
 
-from copy import copy
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -119,16 +118,23 @@ class BlockMaxIndex:
         self.rare = rows[order].astype(small), weights[order]
         self.dense = None
 
-    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Terms and weights of the examples, one after another, and where each starts; before any search."""
-        rows, slots, weights = self.common
-        term = np.flatnonzero(self.slot >= 0)
-        term = term[np.argsort(self.slot[term])].astype(np.int32)
-        others = np.repeat(np.arange(len(self.slot), dtype=np.int32), np.diff(self.first))
-        rows = np.concatenate([rows, self.rare[0]])
-        terms, weights = np.concatenate([term[slots], others]), np.concatenate([weights, self.rare[1]])
+    def vectors(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms and weights of the examples from ``start`` to ``end``, one after another, and where each
+        begins."""
+        self._ready()
+        rows, slots = np.nonzero(self.dense[start:end])
+        dense_terms = np.flatnonzero(self.slot >= 0)
+        dense_terms = dense_terms[np.argsort(self.slot[dense_terms])]
+        low, high = np.uint64(start << 32), np.uint64(end << 32)
+        at = np.flatnonzero((self.postings >= low) & (self.postings < high))
+        found = self.postings[at]
+        terms = np.concatenate([dense_terms[slots], np.searchsorted(self.first, at, side="right") - 1])
+        weights = np.concatenate(
+            [self.dense[rows + start, slots], found.astype(np.uint32).view(np.float32)]
+        )
+        rows = np.concatenate([rows, (found >> np.uint64(32)).astype(np.int64) - start])
         order = np.lexsort((terms, rows))
-        return terms[order], weights[order], np.searchsorted(rows[order], np.arange(self.examples + 1))
+        return terms[order], weights[order], np.searchsorted(rows[order], np.arange(end - start + 1))
 
     def _ready(self) -> None:
         """Builds what searches use from what was sent."""
@@ -482,16 +488,17 @@ def _example_votes(model: Model, examples: int) -> DataFrame:
 
     def run(batches):
         model = shared.value
-        # The index as it was sent; one that is in use has no vectors any more.
-        index = copy(model.index)
-        terms, weights, starts = index.vectors()
+        index = model.index
         for batch in batches:
+            # The ids of a batch follow one another.
             wanted = batch.column(0).to_pylist()
             for at in range(0, len(wanted), CHUNK):
-                own = [slice(starts[e], starts[e + 1]) for e in wanted[at : at + CHUNK]]
+                part = wanted[at : at + CHUNK]
+                terms, weights, starts = index.vectors(part[0], part[-1] + 1)
+                own = [slice(start, end) for start, end in zip(starts[:-1], starts[1:])]
                 vectors = [(terms[o], weights[o]) for o in own]
                 found, votes = [], []
-                for e, vector, base in zip(wanted[at:], vectors, index.dense_parts(vectors)):
+                for e, vector, base in zip(part, vectors, index.dense_parts(vectors)):
                     near, cosines = index.nearest(*vector, NEIGHBOURS, e, base)
                     if len(near):
                         found.append(e)

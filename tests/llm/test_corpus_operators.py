@@ -491,6 +491,10 @@ def test_block_max_search_is_exact(monkeypatch, stands_out):
     rows, columns = np.nonzero(dense)
     index = toxicity.BlockMaxIndex(500, 60, rows, columns, dense[rows, columns])
     index = pickle.loads(pickle.dumps(index))
+    terms, weights, starts = index.vectors(3, 470)
+    for i, row in enumerate(dense[3:470]):
+        own = slice(starts[i], starts[i + 1])
+        assert (terms[own] == np.flatnonzero(row)).all() and np.allclose(weights[own], row[row > 0])
     for q in range(40):
         terms = np.flatnonzero(dense[q])
         if len(terms):
