@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,6 +89,22 @@ def running_before(rows: DataFrame, group: str, order: str, value: str, piece: i
     return met.select(*rows.columns, before.alias("before"))
 
 
+def giving_back(run: Callable) -> Callable:
+    """``run`` over Arrow batches, after whose last one the worker gives its free memory back.
+
+    Workers live on from task to task, and their allocators keep what a task has freed.
+    """
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     values = values.astype(np.uint64, copy=True)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ROW, located, mix, text_column, without, word_hashes
+from termloom.llm.common import ROW, giving_back, located, mix, text_column, without, word_hashes
 from termloom.llm.components import components
 from termloom.plans.joins import fits_broadcast
 from termloom.plans.numbering import with_dense_ids
@@ -134,7 +134,7 @@ def _merge_blocks(key, rows: pa.Table) -> pa.Table:
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     """The factor 1 + ln(N / df) / ln N of each counter of the sketch."""
     parts = docs.select(text_column().alias("text")).mapInArrow(
-        _sketch_batches, "block int, counts binary"
+        giving_back(_sketch_batches), "block int, counts binary"
     )
     tasks = docs.rdd.getNumPartitions()
     while tasks > 1:
@@ -235,7 +235,7 @@ def signatures(placed: DataFrame, factors) -> DataFrame:
 
     rows = placed.select(F.col("doc_id").cast("long"), *ROW, text_column().alias("text"))
     schema = f"doc_id long, {ROW[0]} long, {ROW[1]} long, digest binary, size long, keys array<long>"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
@@ -378,7 +378,7 @@ def links(placed: DataFrame, nodes: DataFrame, factors) -> DataFrame:
     sent = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     texts = placed.select(*ROW, text_column().alias("text")).join(sent, list(ROW))
     vectors = texts.select("node", "keys", "text", "groups").mapInArrow(
-        _vector_batches(factors),
+        giving_back(_vector_batches(factors)),
         "node long, keys array<long>, groups array<struct<kind: int, id: long, slot: long>>, "
         "hashes binary, weights binary",
     )

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import text_column
+from termloom.llm.common import giving_back, text_column
 from termloom.plans.staging import stage
 
 CAPACITY = 2048
@@ -242,7 +242,7 @@ def pack(docs: DataFrame, definition: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     pieces = texts.mapInArrow(
-        _pieces(shared),
+        giving_back(_pieces(shared)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long",
     )
     pieces = stage(pieces, "packing-pieces")

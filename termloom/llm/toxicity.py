@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import ROW, located, text_column, without, word_hashes
+from termloom.llm.common import ROW, giving_back, located, text_column, without, word_hashes
 from termloom.plans.staging import stage
 
 TOXIC_EXAMPLES = 4096
@@ -67,7 +67,7 @@ EXAMPLES_AT_ONCE = 2048
 # before it hands them on.
 DOCS_AT_ONCE = 256
 WAITING = 1 << 18
-HELD = 1 << 20
+HELD = 1 << 19
 # Weight of the labels' share in a vote.
 SHRINK = 0.5
 
@@ -376,6 +376,9 @@ def _frequency_batches(batches):
                 held += len(parts[-1][0])
                 waiting = []
             if held > HELD:
+                parts = [_added(parts)]
+                held = len(parts[0][0])
+            if 2 * held > HELD and len(parts) == 1:
                 yield summed()
                 parts, held = [], 0
     if waiting:
@@ -387,7 +390,8 @@ def _frequency_batches(batches):
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
     """``term``, ``n``: in how many of all documents each word occurs; null has their number."""
-    parts = docs.select(text_column().alias("text")).mapInArrow(_frequency_batches, "term long, n long")
+    texts = docs.select(text_column().alias("text"))
+    parts = texts.mapInArrow(giving_back(_frequency_batches), "term long, n long")
     return stage(parts.groupBy("term").agg(F.sum("n").alias("n")), "toxicity-frequencies")
 
 
@@ -509,7 +513,7 @@ def _example_votes(model: Model, examples: int) -> DataFrame:
 
     tasks = -(-examples // EXAMPLES_AT_ONCE)
     ids = SparkSession.getActiveSession().range(0, examples, 1, tasks)
-    return ids.mapInArrow(run, "example long, vote double")
+    return ids.mapInArrow(giving_back(run), "example long, vote double")
 
 
 def _fit(model: Model, ids, toxic, parts: list, lengths, sizes) -> Model:
@@ -595,7 +599,7 @@ def _votes(placed: DataFrame, model: Model) -> DataFrame:
             )
 
     rows = placed.select(F.col("doc_id").cast("long"), *ROW, text_column().alias("text"))
-    found = rows.mapInArrow(search, _FOUND)
+    found = rows.mapInArrow(giving_back(search), _FOUND)
     if model.frequencies is None:
         found = found.withColumn("rest", F.lit(0.0))
     else:
