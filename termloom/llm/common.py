@@ -89,18 +89,21 @@ def running_before(rows: DataFrame, group: str, order: str, value: str, piece: i
     return met.select(*rows.columns, before.alias("before"))
 
 
-def giving_back(run: Callable) -> Callable:
-    """``run`` over Arrow batches, after whose last one the worker gives its free memory back.
+def give_back() -> None:
+    """Returns memory that was freed, but that the allocators of this process keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
-    Workers live on from task to task, and their allocators keep what a task has freed.
-    """
+
+def giving_back(run: Callable) -> Callable:
+    """``run`` over Arrow batches; as workers live on from task to task, free memory is given back
+    after the last one."""
 
     def wrapped(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
 
     return wrapped
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import ROW, giving_back, located, text_column, without, word_hashes
+from termloom.llm.common import ROW, give_back, giving_back, located, text_column, without, word_hashes
 from termloom.plans.staging import stage
 
 TOXIC_EXAMPLES = 4096
@@ -457,7 +457,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     model = replace(none, terms=terms, idf=idf, count=count, frequencies=frequencies)
     parts = [columns, counts]
     del columns, counts
-    return _fit(model, ids, toxic, parts, lengths, sizes)
+    give_back()
+    model = _fit(model, ids, toxic, parts, lengths, sizes)
+    give_back()
+    return model
 
 
 def _flat(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -553,6 +556,9 @@ def _fit(model: Model, ids, toxic, parts: list, lengths, sizes) -> Model:
     del rows, columns, weights
     model.ids, model.toxic = ids[order], toxic[order].astype(float)
     model.shared = _shared(model)
+    # From here on only the tasks need it.
+    model.index = None
+    give_back()
     votes = np.full(len(order), model.share)
     found = _example_votes(model, len(order)).toArrow()
     votes[found.column("example").to_numpy()] = found.column("vote").to_numpy()
