@@ -40,9 +40,9 @@ NEARLY_FULL = CAPACITY - 4
 LOCAL_PIECES = 1 << 16
 GROUP_BINS = 50_000
 LEAST_GAIN = 0.01
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 400_000
 # Chunks that a worker keeps between tasks, whatever they belong to.
-KEPT_CHUNKS = 50_000
+KEPT_CHUNKS = 200_000
 # Characters of text handled between look-ups of new words.
 SUB_BATCH = 1 << 20
 
