@@ -73,8 +73,10 @@ def fingerprint(postings: DataFrame) -> DataFrame:
     """
     text = F.concat_ws("|", "term", F.col("doc_id").cast("string"), F.col("tf").cast("string"))
     first = F.substring(F.sha2(text.cast("binary"), 256), 1, 15)
-    h = F.conv(first, 16, 10).cast("decimal(38,0)")
-    return postings.agg(
+    # 60 bits fit a long. Their 20-bit parts are added as longs, decimals only at the end.
+    hashed = postings.select(F.conv(first, 16, 10).cast("long").alias("h"))
+    parts = [F.shiftright("h", shift).bitwiseAND(F.lit((1 << 20) - 1)) for shift in (0, 20, 40)]
+    sums = hashed.agg(
         F.count(F.lit(1)).alias("postings"),
         F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("hash_sum"),
     )

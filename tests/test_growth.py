@@ -3,8 +3,10 @@
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from termloom import catalog
+from termloom.operators import quality
 from termloom.operators.postings import build_postings
 
 
@@ -33,3 +35,13 @@ def test_streamed_index_of_one_file(spark, random_docs, tmp_path):
     pq.write_table(random_docs.toArrow(), tmp_path / "documents.parquet")
     got = catalog.streamed_index(spark, str(tmp_path))
     assert rows_of(got) == rows_of(build_postings(random_docs))
+
+
+def test_fingerprint_adds_longs(spark, seed_postings):
+    found = quality.fingerprint(seed_postings)
+    assert "decimal(38,0)" not in plan(found)
+    text = F.concat_ws("|", "term", "doc_id", "tf").cast("binary")
+    first = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+    expected = seed_postings.agg(F.count("*"), F.sum(first).cast("string")).first()
+    assert tuple(found.first()) == tuple(expected)
+    assert tuple(quality.fingerprint(seed_postings.limit(0)).first()) == (0, "0")
