@@ -20,12 +20,14 @@ from termloom.functions.text import DEFAULT_OPTIONS, TokenOptions
 from termloom.operators.postings import build_postings
 from termloom.plans import versions
 from termloom.plans.joins import fits_broadcast
-from termloom.plans.staging import staged
+from termloom.plans.staging import small_splits, staged
 
-# Postings per file, which is also a range partition when an index is written: at most the
-# first number, and no fewer than the second just to keep every core busy.
+# Postings per file at most.
 ROWS_PER_FILE = 20_000_000
-LEAST_ROWS_PER_FILE = 250_000
+# Postings per range partition when an index is written, which one task sorts: about the first
+# number at most, and no fewer than the second just to keep every core busy.
+ROWS_PER_TASK = 2_000_000
+LEAST_ROWS_PER_TASK = 250_000
 BATCH = "batch"
 
 
@@ -44,28 +46,33 @@ def _write(
     sorted by task: half the size on disk and in the shuffle, and the final sort merges runs.
     Clustering then samples and shuffles that table, not the texts. Ranges are cut on
     ``(term, doc_id)``, so a frequent term gets as many files as it needs and every file still
-    covers a narrow range of terms, which the scan's min/max and bloom filters use.
+    covers a narrow range of terms, which the scan's min/max and bloom filters use. What a task
+    sorts does not grow with the corpus, and small files are cut from a task's sorted rows.
     """
     spark = docs.sparkSession
     part = f"source={source}/build={build}"
     metrics = Observation()
-    with staged(
-        build_postings(docs, options, one_row_per_doc).sortWithinPartitions("term", "doc_id"),
-        "postings",
-        metrics,
-        F.count(F.lit(1)).alias("posting_count"),
-    ) as postings:
+    with (
+        small_splits(spark),
+        staged(
+            build_postings(docs, options, one_row_per_doc).sortWithinPartitions("term", "doc_id"),
+            "postings",
+            metrics,
+            F.count(F.lit(1)).alias("posting_count"),
+        ) as postings,
+    ):
         posting_count = metrics.get["posting_count"]
         cores = spark.sparkContext.defaultParallelism
-        files = max(
-            math.ceil(posting_count / rows_per_file),
-            min(cores, math.ceil(posting_count / LEAST_ROWS_PER_FILE)),
+        ranges = max(
+            math.ceil(posting_count / ROWS_PER_TASK),
+            min(cores, math.ceil(posting_count / LEAST_ROWS_PER_TASK)),
             1,
         )
-        clustered = postings.repartitionByRange(files, "term", "doc_id").sortWithinPartitions(
+        clustered = postings.repartitionByRange(ranges, "term", "doc_id").sortWithinPartitions(
             "term", "doc_id"
         )
         writer = clustered.write.option("parquet.bloom.filter.enabled#term", "true")
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
         writer.mode("overwrite").parquet(f"{folder}/postings/{part}")
     counted = Observation()
     docs.select("doc_id").observe(

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from termloom import catalog
 from termloom.operators import quality
 from termloom.operators.postings import build_postings
+from termloom.plans import staging
+from termloom.sources import index_store
 
 
 def plan(frame):
@@ -37,6 +39,32 @@ def test_streamed_index_of_one_file(spark, random_docs, tmp_path):
     assert rows_of(got) == rows_of(build_postings(random_docs))
 
 
+def test_small_files_need_no_tasks_of_their_own(spark, many_docs, tmp_path):
+    index_store.rebuild_index(many_docs, str(tmp_path / "index"), rows_per_file=500)
+    files = list((tmp_path / "index").glob("version=*/postings/**/*.parquet"))
+    assert all(pq.read_metadata(file).num_rows <= 500 for file in files)
+    assert len(files) >= 16 and len({file.name.split("-")[1] for file in files}) == 1
+
+
+def test_a_task_sorts_a_bounded_part_of_an_index(spark, many_docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_store, "ROWS_PER_TASK", 1000)
+    path = str(tmp_path / "index")
+    index_store.rebuild_index(many_docs, path)
+    files = list((tmp_path / "index").glob("version=*/postings/**/*.parquet"))
+    assert len(files) == 8
+    assert rows_of(index_store.read_postings(spark, path)) == rows_of(build_postings(many_docs))
+
+
+def test_splits_are_small_only_within_the_block(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    with staging.small_splits(spark, 1 << 20):
+        assert int(spark.conf.get(key).removesuffix("b")) == 1 << 20
+        with staging.small_splits(spark, 1 << 30):
+            assert int(spark.conf.get(key).removesuffix("b")) == 1 << 20
+    assert spark.conf.get(key) == before
+
+
 def test_fingerprint_adds_longs(spark, seed_postings):
     found = quality.fingerprint(seed_postings)
     assert "decimal(38,0)" not in plan(found)
