@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom import catalog
-from termloom.operators import quality
+from termloom.operators import batch, quality
 from termloom.operators.postings import build_postings
 from termloom.plans import staging
+from termloom.plans.order import proven_unique
 from termloom.sources import index_store
 
 
@@ -73,3 +74,33 @@ def test_fingerprint_adds_longs(spark, seed_postings):
     expected = seed_postings.agg(F.count("*"), F.sum(first).cast("string")).first()
     assert tuple(found.first()) == tuple(expected)
     assert tuple(quality.fingerprint(seed_postings.limit(0)).first()) == (0, "0")
+
+
+def test_order_proves_that_rows_differ(spark, many_docs, tmp_path):
+    path = str(tmp_path / "index")
+    index_store.rebuild_index(many_docs, path, rows_per_file=500)
+    stored = index_store.read_postings(spark, path)
+    assert proven_unique(stored, "term", "doc_id")
+    assert not proven_unique(stored.union(stored.limit(1)), "term", "doc_id")
+    null = spark.createDataFrame([(None, 1, 1)], stored.schema)
+    assert not proven_unique(stored.union(null), "term", "doc_id")
+    assert not proven_unique(stored.orderBy(F.rand(1)), "term", "doc_id", most=10)
+    assert proven_unique(stored.limit(0), "term", "doc_id")
+    # Equal neighbours over the edge of a batch, and equal rows in different tasks.
+    twice = spark.range(20_001, numPartitions=1).select(
+        F.lit("a").alias("term"), F.when(F.col("id") > 9_999, F.col("id") - 1).otherwise(F.col("id")).alias("doc_id")
+    )
+    assert not proven_unique(twice, "term", "doc_id")
+    assert proven_unique(twice.distinct().repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id"), "term", "doc_id")
+
+
+def test_duplicates_are_found_without_a_shuffle_of_a_sound_index(spark, many_docs, tmp_path):
+    path = str(tmp_path / "index")
+    index_store.rebuild_index(many_docs, path)
+    stored = index_store.read_postings(spark, path)
+    sound = quality.index_checks(stored)
+    assert "hashpartitioning(term" not in plan(sound)
+    broken = stored.union(stored.filter("doc_id < 3"))
+    for frame, expected in ((stored, 0), (broken, 6)):
+        found = {row["rule"]: row["violations"] for row in quality.index_checks(frame).collect()}
+        assert found["duplicate_posting"] == expected
