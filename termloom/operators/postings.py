@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termloom.functions.text import DEFAULT_OPTIONS, TokenOptions, term_counts, tokenize
 
@@ -42,8 +43,17 @@ def to_blocks(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
 
     Concatenating a term's blocks in order gives its whole list.
     """
+    return listed(with_blocks(postings, block_docs))
+
+
+def with_blocks(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    return postings.withColumn("block", F.floor(F.col("doc_id") / block_docs).cast("long"))
+
+
+def listed(blocked: DataFrame) -> DataFrame:
+    """One row per term and ``block``; rows partitioned by these are not moved."""
     return (
-        postings.groupBy("term", F.floor(F.col("doc_id") / block_docs).cast("long").alias("block"))
+        blocked.groupBy("term", "block")
         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
         .select("term", "block", "postings")
     )
@@ -63,21 +73,52 @@ def sanitize(postings: DataFrame, order: tuple[str, ...] = ("block", "position")
     positive number becomes 0, and of several postings of a document the last one counts.
     ``tf`` is a long; beyond its range stands its largest value.
     """
+    return last_of_each(repaired(postings, order))
+
+
+def _whole(postings: DataFrame) -> Column:
+    """Whether ``doc_id`` is a whole number of at least 0."""
+    if isinstance(postings.schema["doc_id"].dataType, T.IntegralType):
+        return F.col("doc_id").isNotNull() & (F.col("doc_id") >= 0)
     exact = F.expr("try_cast(doc_id AS DECIMAL(38, 18))")
-    whole = exact.isNotNull() & (exact >= 0) & (exact == F.floor(exact))
+    return exact.isNotNull() & (exact >= 0) & (exact == F.floor(exact))
+
+
+def _place(postings: DataFrame, order: tuple[str, ...]) -> Column:
+    """One value that is ordered like the columns, nulls first.
+
+    Whole numbers make one number, which an aggregation replaces in its hash table; a struct
+    makes it sort all rows.
+    """
+    bits = {T.ByteType(): 8, T.ShortType(): 16, T.IntegerType(): 32, T.LongType(): 64}
+    widths = [bits.get(postings.schema[column].dataType) for column in order]
+    if None in widths or sum(widths) > 100:
+        return F.struct(*order)
+    if len(order) == 1 and widths[0] < 64:
+        return F.coalesce(F.col(order[0]).cast("long"), F.lit(-_LARGEST))
+    place = None
+    for column, width in zip(order, widths):
+        lowest = F.lit(str(-(1 << width - 1) - 1)).cast("decimal(38,0)")
+        digit = F.coalesce(F.col(column).cast("decimal(38,0)"), lowest)
+        scale = F.lit(str(1 << width + 1)).cast("decimal(38,0)")
+        place = digit if place is None else (place * scale + digit).cast("decimal(38,0)")
+    return place
+
+
+def repaired(postings: DataFrame, order: tuple[str, ...] = ("block", "position")) -> DataFrame:
+    """``sanitize`` but for repeated postings; ``_place`` says which is the last."""
     tf = F.col("tf").cast("double")
     usable = tf.isNotNull() & ~F.isnan(tf) & (tf > 0) & (tf < float("inf"))
-    return (
-        postings.filter(F.col("term").isNotNull() & whole)
-        .select(
-            "term",
-            F.expr("try_cast(doc_id AS BIGINT)").alias("doc_id"),
-            F.when(usable & (tf >= float(_LARGEST)), F.lit(_LARGEST))
-            .when(usable, tf.cast("long"))
-            .otherwise(F.lit(0).cast("long"))
-            .alias("tf"),
-            F.struct(*order).alias("_place"),
-        )
-        .groupBy("term", "doc_id")
-        .agg(F.max_by("tf", "_place").alias("tf"))
+    return postings.filter(F.col("term").isNotNull() & _whole(postings)).select(
+        "term",
+        F.expr("try_cast(doc_id AS BIGINT)").alias("doc_id"),
+        F.when(usable & (tf >= float(_LARGEST)), F.lit(_LARGEST))
+        .when(usable, tf.cast("long"))
+        .otherwise(F.lit(0).cast("long"))
+        .alias("tf"),
+        _place(postings, order).alias("_place"),
     )
+
+
+def last_of_each(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term", "doc_id").agg(F.max_by("tf", "_place").alias("tf"))

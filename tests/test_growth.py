@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom import catalog
 from termloom.operators import batch, quality
-from termloom.operators.postings import build_postings
+from termloom.operators.postings import build_postings, sanitize
 from termloom.plans import staging
 from termloom.plans.order import proven_unique
 from termloom.sources import index_store
@@ -104,3 +104,28 @@ def test_duplicates_are_found_without_a_shuffle_of_a_sound_index(spark, many_doc
     for frame, expected in ((stored, 0), (broken, 6)):
         found = {row["rule"]: row["violations"] for row in quality.index_checks(frame).collect()}
         assert found["duplicate_posting"] == expected
+
+
+@pytest.mark.parametrize("kinds", ["long", "int"])
+def test_sanitize_does_not_sort(spark, kinds):
+    big = 1 << 62 if kinds == "long" else 1 << 30
+    rows = [
+        ("a", 1, 0, 1, 1.0), ("a", 1, 0, 2, 2.0), ("a", 1, None, 9, 3.0),
+        ("b", 1, big, 0, 4.0), ("b", 1, big - 1, 5, 5.0), ("b", 1, -big, 7, 6.0),
+        ("c", 1, 3, None, 7.0), ("c", 1, 3, -(1 << 31), 8.0), ("c", -1, 0, 0, 9.0),
+        ("d", 1, None, None, 1.0), ("d", 1, None, 0, 2.0), ("e", None, 0, 0, 1.0), ("f", 2, None, None, 3.0),
+    ]
+    frame = spark.createDataFrame(rows, f"term string, doc_id long, block {kinds}, position int, tf double")
+    got = sanitize(frame)
+    assert "SortAggregate" not in plan(got)
+    expected = [("a", 1, 2), ("b", 1, 4), ("c", 1, 8), ("d", 1, 2), ("f", 2, 3)]
+    assert rows_of(got) == expected
+    one = sanitize(frame, ("position",))
+    assert "SortAggregate" not in plan(one)
+    assert rows_of(one) == [("a", 1, 3), ("b", 1, 6), ("c", 1, 8), ("d", 1, 2), ("f", 2, 3)]
+
+
+def test_damaged_postings_are_cut_once(spark, random_docs, tmp_path):
+    random_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    text = plan(catalog.sanitized_postings(spark, str(tmp_path)))
+    assert "Union" not in text and "SortAggregate" not in text
