@@ -1,5 +1,6 @@
 """What must not grow with the tables: shuffles, what one task holds, files and tasks."""
 
+import json
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,7 +11,7 @@ from termloom.operators import batch, quality
 from termloom.operators.postings import build_postings, sanitize
 from termloom.plans import staging
 from termloom.plans.order import proven_unique
-from termloom.sources import index_store
+from termloom.sources import index_json, index_store
 
 
 def plan(frame):
@@ -129,3 +130,17 @@ def test_damaged_postings_are_cut_once(spark, random_docs, tmp_path):
     random_docs.write.parquet(str(tmp_path / "documents.parquet"))
     text = plan(catalog.sanitized_postings(spark, str(tmp_path)))
     assert "Union" not in text and "SortAggregate" not in text
+
+
+def test_json_export_is_restored_without_a_shuffle(spark, random_docs, tmp_path):
+    path = str(tmp_path / "json")
+    index_json.write_index_json(build_postings(random_docs), path, 600, block_docs=100)
+    restored = index_json.read_index_json(spark, path)
+    assert "Exchange" not in plan(restored)
+    assert rows_of(restored) == rows_of(build_postings(random_docs))
+    # Of a posting that comes twice, the one in the later block counts.
+    again = {"term": "hot", "block": 99, "postings": [{"doc_id": 0, "tf": 77}]}
+    (tmp_path / "json" / "postings" / "part-extra.json").write_text(json.dumps(again), encoding="utf-8")
+    found = {(row["term"], row["doc_id"]): row["tf"] for row in index_json.read_index_json(spark, path).collect()}
+    assert found["hot", 0] == 77 and found["hot", 3] == 1
+    assert len(found) == build_postings(random_docs).count()
