@@ -143,8 +143,8 @@ def batch_hits(
 ) -> DataFrame:
     """``query_id, doc_id`` of every prepared query, after its limit.
 
-    The index is read once, for the postings of the batch's vocabulary, and these are written.
-    Then queries go by mode and by size of limit (none, small, large), each kind through the
+    The index is read once, for the postings of the batch's vocabulary, and these are written; so
+    postings that are not stored are computed once. Then queries go by mode and by size of limit (none, small, large), each kind through the
     joins that suit it.
     """
     words = _distinct_terms(prepared)
@@ -169,6 +169,9 @@ def batch_hits(
     ).first()
     # The sides joined below are parts of ``words``, or its rows folded per query.
     size = {"broadcast_bytes": broadcast_bytes, "fits": seen["bytes"] <= broadcast_bytes}
+    if not size["fits"]:
+        # A shuffle join reads them several times.
+        postings = stage(postings.select("term", "doc_id"), "postings")
     relevant = attach(postings, words.select("term"), "term", "left_semi", **size)
     postings = stage(relevant.select("term", "doc_id"), "relevant")
 

@@ -144,3 +144,32 @@ def test_json_export_is_restored_without_a_shuffle(spark, random_docs, tmp_path)
     found = {(row["term"], row["doc_id"]): row["tf"] for row in index_json.read_index_json(spark, path).collect()}
     assert found["hot", 0] == 77 and found["hot", 3] == 1
     assert len(found) == build_postings(random_docs).count()
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_a_batch_writes_only_the_postings_of_its_terms(spark, random_docs, monkeypatch, broadcast_bytes):
+    written = []
+    monkeypatch.setattr(batch, "stage", lambda frame, label: written.append(label) or staging.stage(frame, label))
+    queries = spark.createDataFrame([(1, "hot", "or", None)], "query_id long, q string, mode string, limit long")
+    prepared = batch.prepare(queries)
+    hits = batch.batch_hits(build_postings(random_docs), prepared, broadcast_bytes)
+    assert rows_of(hits) == [(1, i) for i in range(0, 600, 3)]
+    assert written == ["queries", "relevant"] if broadcast_bytes else ["queries", "postings", "relevant"]
+
+
+def test_a_batch_query_writes_no_whole_index(spark, random_docs, tmp_path, monkeypatch):
+    random_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items = spark.createDataFrame([(0, "hot w1"), (1, "w2 w3")], "item_id long, text string")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    whole = build_postings(random_docs).count()
+    counts = []
+
+    def counting(frame, label, path=None):
+        found = staging.stage(frame, label, path)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(batch, "stage", counting)
+    monkeypatch.setattr(catalog, "stage", counting, raising=False)
+    assert catalog.batch_search(spark, str(tmp_path)).count() > 0
+    assert max(counts) < whole
