@@ -29,7 +29,6 @@ is the one with the smallest id, then the smallest place. Extra columns play no
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -38,11 +37,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ROW, giving_back, located, mix, text_column, without, word_hashes
+from termloom.llm.common import (
+    ROW,
+    give_back,
+    giving_back,
+    kept,
+    located,
+    mix,
+    text_column,
+    without,
+    word_hashes,
+)
 from termloom.llm.components import components
 from termloom.plans.joins import fits_broadcast
 from termloom.plans.numbering import with_dense_ids
-from termloom.plans.staging import stage
+from termloom.plans.staging import small_batches, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -145,19 +154,23 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
             lambda key, rows: _merge_blocks(key, rows), "block int, counts binary"
         )
     # SKETCH / SKETCH_BLOCK rows and the number of documents.
-    blocks = {row["block"]: _unpacked(row["counts"]) for row in parts.collect()}
+    with small_batches(docs.sparkSession):
+        blocks = {row["block"]: _unpacked(row["counts"]) for row in parts.collect()}
     if not blocks:
         return np.ones(SKETCH, np.float32)
     count = int(blocks.pop(-1)[0])
-    seen = np.concatenate([blocks[i] for i in range(len(blocks))])
-    scale = np.log(max(count, 2))
-    return (1 + np.log(max(count, 1) / np.clip(seen, 1, max(count, 1))) / scale).astype(np.float32)
+    factors = np.concatenate([blocks.pop(i) for i in range(len(blocks))], dtype=float)
+    np.clip(factors, 1, max(count, 1), out=factors)
+    np.divide(max(count, 1), factors, out=factors)
+    np.log(factors, out=factors)
+    factors /= np.log(max(count, 2))
+    factors += 1
+    return factors.astype(np.float32)
 
 
-@functools.cache
 def sampler() -> Sampler:
     """One table of draws per worker."""
-    return Sampler()
+    return kept("near-dedup", "sampler", Sampler)
 
 
 class Sampler:
@@ -235,7 +248,7 @@ def signatures(placed: DataFrame, factors) -> DataFrame:
 
     rows = placed.select(F.col("doc_id").cast("long"), *ROW, text_column().alias("text"))
     schema = f"doc_id long, {ROW[0]} long, {ROW[1]} long, digest binary, size long, keys array<long>"
-    return rows.mapInArrow(giving_back(run), schema)
+    return rows.mapInArrow(giving_back(run, "near-dedup"), schema)
 
 
 def _counted(rows: DataFrame, key: str) -> DataFrame:
@@ -384,7 +397,8 @@ def links(placed: DataFrame, nodes: DataFrame, factors) -> DataFrame:
     )
     rows = vectors.select("node", "keys", "hashes", "weights", F.inline("groups"))
     dealt = rows.repartition("kind", "id", "slot").sortWithinPartitions("kind", "id", "slot")
-    return stage(dealt.mapInArrow(_verify, "a long, b long, whole boolean"), "near-dedup-links")
+    with small_batches(placed.sparkSession):
+        return stage(dealt.mapInArrow(_verify, "a long, b long, whole boolean"), "near-dedup-links")
 
 
 def classify(docs: DataFrame) -> DataFrame:
@@ -397,7 +411,9 @@ def classify(docs: DataFrame) -> DataFrame:
 
 def _classify(placed: DataFrame) -> DataFrame:
     factors = placed.sparkSession.sparkContext.broadcast(inverse_frequencies(placed))
-    signed = stage(signatures(placed, factors), "near-dedup-signatures")
+    give_back()
+    with small_batches(placed.sparkSession):
+        signed = stage(signatures(placed, factors), "near-dedup-signatures")
     rank = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "doc_id", *ROW)
     distinct = signed.groupBy("digest").agg(
         F.min(rank).alias("first"),
@@ -408,6 +424,8 @@ def _classify(placed: DataFrame) -> DataFrame:
     nodes = stage(with_dense_ids(distinct, id_column="node"), "near-dedup-nodes")
     flat = nodes.select("node", "keys", "size", *(F.col(f"first.{c}").alias(c) for c in ROW))
     found = links(placed, flat, factors)
+    # Signatures and links are written.
+    factors.destroy()
     # A cluster verified in one task is final; groups of a larger one meet in their nodes.
     final = found.filter("whole").select(F.col("a").alias("node"), F.col("b").alias("root"))
     partial = found.filter("not whole")
@@ -420,6 +438,7 @@ def _classify(placed: DataFrame) -> DataFrame:
         F.min("first").alias("kept"), F.sum("copies").alias("class_size")
     )
     shared = rooted.join(sizes.filter("class_size > 1"), "root").select("digest", "kept", "class_size")
+    shared = stage(shared, "near-dedup-classes")
     if fits_broadcast(shared):
         shared = F.broadcast(shared)
     joined = signed.join(shared, "digest", "left")

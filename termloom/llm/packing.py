@@ -19,7 +19,6 @@ repeated rows are packed like others. Extra columns play no part.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import zlib
@@ -31,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import giving_back, text_column
-from termloom.plans.staging import stage
+from termloom.llm.common import giving_back, kept, text_column
+from termloom.plans.staging import small_batches, stage
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -116,10 +115,9 @@ class WordIds:
         ]
 
 
-@functools.lru_cache(maxsize=1)
 def word_ids(definition: str) -> WordIds:
     """One encoder a worker, which keeps what it has learnt from task to task."""
-    return WordIds(definition)
+    return kept("packing", definition, lambda: WordIds(definition))
 
 
 def best_fit(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -242,10 +240,11 @@ def pack(docs: DataFrame, definition: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     pieces = texts.mapInArrow(
-        giving_back(_pieces(shared)),
+        giving_back(_pieces(shared), "packing"),
         "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long",
     )
-    pieces = stage(pieces, "packing-pieces")
+    with small_batches(docs.sparkSession):
+        pieces = stage(pieces, "packing-pieces")
     sizes = pieces.groupBy("bin").agg(F.sum("length").alias("size"))
     packed = pieces
     for moved in moves(sizes):

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.llm.common import ROW, give_back, giving_back, located, text_column, without, word_hashes
-from termloom.plans.staging import stage
+from termloom.plans.staging import small_batches, stage
 
 TOXIC_EXAMPLES = 4096
 CLEAN_EXAMPLES = 8192
@@ -392,7 +392,8 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     """``term``, ``n``: in how many of all documents each word occurs; null has their number."""
     texts = docs.select(text_column().alias("text"))
     parts = texts.mapInArrow(giving_back(_frequency_batches), "term long, n long")
-    return stage(parts.groupBy("term").agg(F.sum("n").alias("n")), "toxicity-frequencies")
+    with small_batches(docs.sparkSession):
+        return stage(parts.groupBy("term").agg(F.sum("n").alias("n")), "toxicity-frequencies")
 
 
 def _sent(frequencies: DataFrame, examples: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -406,9 +407,10 @@ def _sent(frequencies: DataFrame, examples: np.ndarray, count: int) -> tuple[np.
             held = shared.value[at] == terms if len(shared.value) else np.zeros(len(terms), bool)
             yield batch.filter(pa.array(held | (batch.column(1).to_numpy() * COMMON > count)))
 
-    kept = frequencies.filter("term is not null").mapInArrow(run, "term long, n long")
+    kept = frequencies.filter("term is not null").mapInArrow(giving_back(run), "term long, n long")
     # Bounded by the sample's words and COMMON times the mean number of words of a document.
     table = kept.toArrow()
+    shared.destroy()
     terms, n = (table.column(i).to_numpy() for i in range(2))
     order = np.argsort(terms)
     return terms[order], n[order]
@@ -434,7 +436,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         F.broadcast(sample), "doc_id"
     )
     rows = examples.select("doc_id", "toxic", "text").mapInArrow(
-        _example_terms, "doc_id long, toxic int, terms binary, counts binary"
+        giving_back(_example_terms), "doc_id long, toxic int, terms binary, counts binary"
     )
     one = F.min(F.struct("toxic", "terms", "counts")).alias("one")
     # At most one row for each id of the sample.
@@ -581,7 +583,9 @@ def _lists(arrays, kind) -> pa.ListArray:
 
 def _votes(placed: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, place, ``score`` and ``evidence`` of every row."""
-    shared, slope, offset = model.shared or _shared(model), model.slope, model.offset
+    shared = model.shared or _shared(model)
+    # What a vote needs of the model.
+    voter = replace(model, terms=_NONE, idf=_NONE, index=None, frequencies=None, shared=None)
 
     def parts(batches):
         for batch in batches:
@@ -609,7 +613,10 @@ def _votes(placed: DataFrame, model: Model) -> DataFrame:
     if model.frequencies is None:
         found = found.withColumn("rest", F.lit(0.0))
     else:
-        found = stage(found, "toxicity-found")
+        with small_batches(placed.sparkSession):
+            found = stage(found, "toxicity-found")
+        # From here on no task needs the index; a further search gets it again.
+        shared.unpersist()
         other = F.inline(F.arrays_zip(F.col("others").alias("term"), F.col("other_weights").alias("weight")))
         # None of these words is in more than one of COMMON documents that the model has seen.
         met = found.select(*ROW, other).join(model.frequencies, "term", "left")
@@ -618,19 +625,18 @@ def _votes(placed: DataFrame, model: Model) -> DataFrame:
         found = found.join(rest, list(ROW), "left").withColumn("rest", F.coalesce("rest", F.lit(0.0)))
 
     def vote(batches):
-        model = replace(shared.value, slope=slope, offset=offset)
         for batch in batches:
             near, cosines, scores = [], [], []
             for n, c, length, rest in zip(*(batch.column(i).to_pylist() for i in range(3, 7))):
                 near.append(np.array(n, np.int64))
                 scale = length / np.sqrt(length**2 + rest) if n else 1.0
                 cosines.append((np.array(c, float) * scale).round(6))
-                scores.append(float(model.probability(model.raw(near[-1], cosines[-1]))) if n else model.empty)
+                scores.append(float(voter.probability(voter.raw(near[-1], cosines[-1]))) if n else voter.empty)
             at = np.concatenate([_NONE, *near])
             evidence = pa.StructArray.from_arrays(
                 [
-                    pa.array(model.ids[at], pa.int64()),
-                    pa.array(model.toxic[at].astype(np.int32)),
+                    pa.array(voter.ids[at], pa.int64()),
+                    pa.array(voter.toxic[at].astype(np.int32)),
                     pa.array(np.concatenate([_NONE, *cosines]), pa.float64()),
                 ],
                 ["doc_id", "toxic", "cosine"],
@@ -648,7 +654,7 @@ def _votes(placed: DataFrame, model: Model) -> DataFrame:
     schema = [T.StructField(c, T.LongType()) for c in ("doc_id", *ROW)]
     schema += [T.StructField("score", T.DoubleType()), T.StructField("evidence", EVIDENCE)]
     columns = ("doc_id", *ROW, "near", "cosines", "length", "rest")
-    return found.select(*columns).mapInArrow(vote, T.StructType(schema))
+    return found.select(*columns).mapInArrow(giving_back(vote), T.StructType(schema))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

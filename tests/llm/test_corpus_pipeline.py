@@ -3,9 +3,11 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 from test_corpus_operators import brute_classes, check_packing, vocabulary
 
-from termloom.llm import near_dedup
+from termloom.llm import common, near_dedup
+from termloom.plans.staging import small_batches, stage
 
 
 def tables(spark, folder):
@@ -70,3 +72,54 @@ def test_pipeline_stages(spark, tmp_path):
     leaks = {i for i, t in before if any(text in (t or "") for _, text in items)}
     assert leaks and {i for i, _ in after} == {i for i, _ in before} - leaks
     check_packing(spark.read.parquet(f"{tmp_path}/packing").collect(), [(i, t or "") for i, t in after])
+
+
+def test_dropped_rows_are_found_once(spark):
+    docs = stage(spark.createDataFrame([(i, f"t{i}") for i in range(10)], "doc_id long, text string"), "docs")
+    placed, seen = common.located(docs), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    dropped = placed.filter("doc_id < 3").select(*common.ROW).mapInArrow(count, "_file long, _at long")
+    kept = common.without(placed, dropped)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(3, 10))
+    assert seen.value == 3
+
+
+def test_near_dedup_classes_are_found_once(spark, monkeypatch):
+    measured = []
+
+    def fits(frame):
+        measured.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return True
+
+    monkeypatch.setattr(near_dedup, "fits_broadcast", fits)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(words)) for i in range(3)] + [(3, " ".join(words[:30] + ["x"] + words[31:]))]
+    kept = near_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r.doc_id for r in kept.collect()] == [0]
+    # What is measured before it is joined is read from a written table.
+    assert measured and not any("Join" in plan or "Aggregate" in plan for plan in measured)
+
+
+def test_workers_keep_one_operators_tables():
+    made = common.kept("a", "table", list)
+    run = common.giving_back(lambda batches: batches, "a")
+    assert list(run([1, 2])) == [1, 2] and common.kept("a", "table", list) is made
+    assert list(common.giving_back(lambda batches: batches)([3])) == [3]
+    assert common.kept("a", "table", list) is not made
+
+
+def test_batches_of_texts_are_small(spark):
+    docs, before = spark.range(0, 5000, 1, 1), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"id": [len(batch)]})
+
+    with small_batches(spark):
+        assert {r.id for r in docs.mapInArrow(sizes, "id long").collect()} == {1000}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
