@@ -29,7 +29,7 @@ from termloom.llm import (
     toxicity,
     warc,
 )
-from termloom.llm.common import word_hashes
+from termloom.llm.common import ROW, word_hashes
 from termloom.llm.components import components
 
 LONG_KEY = "aB3_-" * 30
@@ -153,6 +153,35 @@ def test_decontamination_blocks_and_odd_rows(spark, odd, none, monkeypatch):
     assert decontamination.overlaps(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_a_long_document_full_of_hits(spark):
+    # Rows of hits with all words of the document would take some 29 GB.
+    rng = random.Random(4)
+    text = " ".join(rng.choices(vocabulary(rng, 3000), k=40))
+    docs = spark.createDataFrame([(1, " ".join([text] * 500)), (2, "nothing here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, text) for i in range(20)], "item_id long, text string")
+    found = decontamination.overlaps(docs, bench).collect()
+    assert {(r.doc_id, r.item_id, r.start, r.agreeing, r.covered) for r in found} == {
+        (1, i, 499 * 40, decontamination.WINDOW, 1.0) for i in range(20)
+    }
+    assert len(found) == 20
+    assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [2]
+
+
+def test_decontamination_in_pieces_and_without_broadcasts(spark, monkeypatch):
+    rng = random.Random(5)
+    words = vocabulary(rng, 2000)
+    bench = [(i % 25, " ".join(rng.choices(words, k=6 + i))) for i in range(30)]
+    docs = [(i, " ".join(rng.choices(words, k=i) + text.split()[i % 3 : 40] + ["x"] * (i % 5))) for i, (_, text) in enumerate(bench)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    whole = stable(decontamination.overlaps(docs, bench).drop(*ROW).collect())
+    assert len(whole) >= 25
+    monkeypatch.setattr(decontamination, "PIECE", 8)
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", -1)
+    monkeypatch.setattr(decontamination, "fits_broadcast", lambda frame: False)
+    assert stable(decontamination.overlaps(docs, bench).drop(*ROW).collect()) == whole
+
+
 # 2 Personal data
 
 
