@@ -74,6 +74,19 @@ def test_pipeline_stages(spark, tmp_path):
     check_packing(spark.read.parquet(f"{tmp_path}/packing").collect(), [(i, t or "") for i, t in after])
 
 
+def test_leaks_in_a_long_document_full_of_hits(spark, tmp_path):
+    # Rows of hits with all words of the document would take some 29 GB.
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, " ".join([text] * 500), "en"), (2, "nothing here", "en"), (None, f"so {text}", None), (3, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    spark.createDataFrame([(i, text) for i in range(20)], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    kept = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(2, "nothing here", "en"), (3, None, "de")]
+
+
 def test_dropped_rows_are_found_once(spark):
     docs = stage(spark.createDataFrame([(i, f"t{i}") for i in range(10)], "doc_id long, text string"), "docs")
     placed, seen = common.located(docs), spark.sparkContext.accumulator(0)
