@@ -46,6 +46,8 @@ AGREEING = 0.8
 BLOCK_SEEDS = 400_000
 # Positions of a document that are looked up from one row.
 PIECE = 1024
+# What a hit is, besides its document's place.
+HIT = ("doc_id", "item", "item_size", "start")
 # Texts of items are broadcast below this; as arrays of words they take some three times as much.
 ITEM_BYTES = 16 << 20
 
@@ -162,14 +164,25 @@ def _hits(pieces: DataFrame, own: DataFrame, masks: tuple[str, ...]) -> DataFram
 
 
 def _confirmed(placed: DataFrame, hits: DataFrame, texts: DataFrame) -> DataFrame:
-    wanted = hits.select(*ROW).distinct()
-    if fits_broadcast(wanted):
-        wanted = F.broadcast(wanted)
-    read = placed.join(wanted, list(ROW), "left_semi").select(*ROW, once(words(text_column())).alias("words"))
-    # By sorted rows a hit at a time meets its text, and only the words along the item go on.
+    texts_of = placed.select(*ROW, "text")
+    array = once(words(text_column())).alias("words")
+    if fits_broadcast(hits):
+        # The hits go to the texts, which do not move.
+        listed = hits.groupBy(*ROW).agg(F.collect_list(F.struct(*HIT)).alias("hits"))
+        read = texts_of.join(F.broadcast(listed), list(ROW)).select(*ROW, "hits", array)
+        each = F.transform("hits", lambda hit: F.struct(*(hit[name].alias(name) for name in HIT)))
+        met = read.select(*ROW, "words", F.inline(each))
+    else:
+        wanted = hits.select(*ROW).distinct()
+        if fits_broadcast(wanted):
+            wanted = F.broadcast(wanted)
+        read = texts_of.join(wanted, list(ROW), "left_semi").select(*ROW, array)
+        # By sorted rows, a hit at a time meets its text.
+        met = hits.join(read.hint("merge"), list(ROW))
+    # Only the words along the item go on.
     start = F.col("start")
     along = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("item_size") + F.least(start, F.lit(0)))
-    met = hits.join(read.hint("merge"), list(ROW)).select("doc_id", *ROW, "item", "start", along.alias("along"))
+    met = met.select("doc_id", *ROW, "item", "start", along.alias("along"))
     met = attach(met, texts, "item", broadcast_bytes=ITEM_BYTES)
     equal = F.transform(
         F.col("item_words"),
